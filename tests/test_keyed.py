@@ -1,0 +1,65 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterflow.operators.keyed import dedupe_last_write, latest_n, retain_recent, sensors
+
+
+def test_last_write_wins(spark):
+    rows = spark.createDataFrame(
+        [(1, 10, 1, "a"), (1, 10, 3, "c"), (1, 10, 2, "b"), (1, 11, 1, "d"), (2, 10, 1, None)],
+        "sensor_id int, t int, written int, v string")
+    got = dedupe_last_write(rows, ["sensor_id", "t"], ["written"])
+    assert sorted(map(tuple, got.collect()))[:2] == [(1, 10, 3, "c"), (1, 11, 1, "d")]
+    assert got.count() == 3 and got.columns == rows.columns
+
+
+def test_copies_of_one_key_are_limited_before_the_shuffle(spark, plan):
+    rows = spark.range(1000, numPartitions=4).select(
+        (F.col("id") % 3 * 0).alias("k"), F.col("id").alias("written"))
+    got = dedupe_last_write(rows, ["k"], ["written"])
+    text = plan(got)
+    # The plan prints children below their parents: the partial limit feeds the exchange.
+    assert text.index("Exchange") < text.rindex("WindowGroupLimit") and "Partial" in text
+    assert [tuple(r) for r in got.collect()] == [(0, 999)]
+
+
+def brute(rows, n):
+    groups = {}
+    for sensor, t, event in rows:
+        groups.setdefault(sensor, []).append((t, event))
+    return sorted(
+        (sensor, t, event, place)
+        for sensor, items in groups.items()
+        for place, (t, event) in enumerate(sorted(items, reverse=True)[:n], 1)
+    )
+
+
+@pytest.mark.parametrize("salts", [1, 3, 16])
+def test_latest_n_with_ties_short_keys_and_a_hot_key(spark, salts):
+    rng = random.Random(7)
+    rows = [(1 if rng.random() < 0.6 else rng.randrange(2, 9), rng.randrange(40), i)
+            for i in range(600)] + [(99, 5, 1000), (99, 5, 1001)]
+    frame = spark.createDataFrame(rows, "sensor_id int, t int, event int").repartition(4)
+    got = latest_n(frame, 30, order=["t", "event"], salts=salts)
+    assert sorted(map(tuple, got.collect())) == brute(rows, 30)
+
+
+def test_latest_n_limits_groups_inside_map_tasks(spark, plan):
+    frame = spark.range(10).select((F.col("id") % 2).alias("sensor_id"), F.col("id").alias("t"))
+    text = plan(latest_n(frame, 3, order=["t"]))
+    assert text.count("WindowGroupLimit") == 4 and text.count("Exchange") == 2
+
+
+def test_retention_is_exclusive_at_the_edge(spark):
+    rows = spark.sql(
+        "select timestamp_seconds(s) as timestamp from values (0), (700), (701), (1000) as v(s)")
+    assert retain_recent(rows, 300).count() == 2
+    given = retain_recent(rows, 300, anchor=F.timestamp_seconds(F.lit(1001)))
+    assert given.count() == 1
+
+
+def test_sensors(spark):
+    rows = spark.createDataFrame([(1,), (2,), (1,)], "sensor_id int")
+    assert sorted(r.sensor_id for r in sensors(rows).collect()) == [1, 2]
