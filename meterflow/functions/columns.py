@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from meterflow.schema import CALENDAR, NA_TEXT
+from meterflow.schema import CALENDAR, INFINITE_TEXT, NA_TEXT
 
 
 def event_time(epoch_ms):
@@ -35,15 +35,13 @@ def power_factor(active, reactive):
 def measure_from_text(text):
     """Number in a text column, null where the text is not a number.
 
-    The cast alone would also take Java's type suffixes ("1.5d", "2f") and keep NaN, which
-    counts as missing here.
+    The cast would also take Java's type suffixes ("1.5d", "2f") and keep NaN, which counts as
+    missing here. With one suffix put on, a second one and "nan" no longer parse. Only what
+    is left is compared with the spellings of infinity.
     """
-    trimmed = F.trim(text)
-    suffixed = F.lower(F.substring(trimmed, -1, 1)).isin("d", "f") & (
-        F.lower(F.substring(trimmed, -3, 3)) != "inf"
-    )
-    number = F.when(~suffixed, trimmed.try_cast("double"))
-    return F.when(~F.isnan(number), number)
+    trimmed = F.trim(text, F.lit(" \t\r\n"))
+    infinite = F.when(F.lower(trimmed).isin(INFINITE_TEXT), trimmed.try_cast("double"))
+    return F.coalesce(F.concat(trimmed, F.lit("d")).try_cast("double"), infinite)
 
 
 def text_or_null(text):

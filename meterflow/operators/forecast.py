@@ -9,8 +9,11 @@ from meterflow.schema import FORECAST_INPUT, FORECAST_STEPS
 PREDICTIONS = [f"prediction{step}" for step in range(1, FORECAST_STEPS + 1)]
 
 
-def recent_load(minutes, ts, value, n=FORECAST_INPUT, order=None, salts=16):
-    """The ``n`` newest values of each sensor, ``rank`` 1 being the newest."""
+def recent_load(minutes, ts, value, n=FORECAST_INPUT, order=None, salts=1):
+    """The ``n`` newest values of each sensor, ``rank`` 1 being the newest.
+
+    A minute view has one row per sensor and minute, so no sensor is hot and no salt needed.
+    """
     order = order or [ts]
     columns = dict.fromkeys(["sensor_id", ts, value, *order])
     return latest_n(minutes.select(*columns), n, order=order, salts=salts)

@@ -3,6 +3,9 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from meterflow.operators.ranges import between
+from meterflow.session import written
+
 
 def dedupe_last_write(rows, keys, order):
     """The last written row of each key, ``order`` being the columns that tell write order.
@@ -19,7 +22,8 @@ def dedupe_last_write(rows, keys, order):
 def retain_recent(rows, seconds, anchor=None, ts="timestamp"):
     """Rows newer than ``seconds`` before ``anchor``, by default the newest row."""
     anchor = rows.agg(F.max(ts)).scalar() if anchor is None else anchor
-    return rows.filter(F.col(ts) > anchor - F.make_dt_interval(secs=F.lit(seconds)))
+    edge = anchor - F.make_dt_interval(secs=F.lit(seconds))
+    return between(rows, edge, ts=ts).filter(F.col(ts) > edge)
 
 
 def latest_n(rows, n, keys=("sensor_id",), order=("timestamp",), salts=16, rank="rank"):
@@ -43,6 +47,24 @@ def latest_n(rows, n, keys=("sensor_id",), order=("timestamp",), salts=16, rank=
     return rows.withColumn(rank, F.row_number().over(within)).filter(F.col(rank) <= n)
 
 
+def latest_n_since(rows, n, since, known, keys=("sensor_id",), order=("timestamp",), salts=16,
+                   rank="rank"):
+    """As ``latest_n``, reading rows before ``since`` only where they are needed.
+
+    ``order[0]`` is the time column (rows without a time are left out), ``since`` a column
+    bound on it, and ``known`` a frame of all keys. Keys with ``n`` rows from ``since`` on are
+    done. Older rows are read for the other keys alone: their list is written first, so Spark
+    broadcasts it if its size allows, filters the older rows before any shuffle, and leaves
+    the older scan out if the list is empty.
+    """
+    ts, keys = order[0], list(keys)
+    recent = written(latest_n(between(rows, since, ts=ts), n, keys, order, salts, rank), "recent")
+    done = recent.filter(F.col(rank) == n).select(*keys)
+    unfinished = written(known.select(*keys).join(done, keys, "left_anti"), "unfinished")
+    older = between(rows, high=since, ts=ts).join(unfinished, keys, "left_semi")
+    return latest_n(recent.drop(rank).unionByName(older), n, keys, order, salts, rank)
+
+
 def sensors(rows):
     """The sensor dimension."""
     return rows.select("sensor_id").distinct()

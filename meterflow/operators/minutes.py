@@ -4,6 +4,9 @@ A view is a list of (output column, function, measure) as in ``schema.SPEED_VIEW
 """
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    DoubleType, IntegerType, LongType, StructField, StructType, TimestampType,
+)
 
 from meterflow.schema import BATCH_VIEW, SPEED_VIEW
 
@@ -17,16 +20,17 @@ def window_view(readings, view, keys=(), ts="timestamp", size=SIZE):
 
     Readings without event time belong to no window. On a stream, set the watermark first.
     """
-    return (
-        readings.groupBy(*keys, F.window(ts, size))
-        .agg(*[FIRST[fn](measure).alias(name) for name, fn, measure in view])
-        .select(
-            *keys,
-            F.col("window.start").alias("start_time"),
-            F.col("window.end").alias("end_time"),
-            *[name for name, _, _ in view],
-        )
-    )
+    aggregates = [FIRST[fn](measure).alias(name) for name, fn, measure in view]
+    window = F.window(ts, size).alias("window")
+    bounds = [F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time")]
+    if readings.isStreaming:
+        # Only the window column itself tells the state store when a group is closed.
+        names = [name for name, _, _ in view]
+        return readings.groupBy(*keys, window).agg(*aggregates).select(*keys, *bounds, *names)
+    # Plain key columns, so that merging partials by them needs no second shuffle.
+    measures = list(dict.fromkeys(measure for _, _, measure in view))
+    rows = readings.select(*keys, *measures, window).select(*keys, *measures, *bounds)
+    return rows.groupBy(*keys, "start_time", "end_time").agg(*aggregates)
 
 
 def speed_minutes(readings, ts="timestamp", size=SIZE):
@@ -51,6 +55,14 @@ def _parts(view):
 
 PARTS = _parts(SPEED_VIEW + BATCH_VIEW)
 
+# Columns of stored partials.
+PARTIALS = StructType(
+    [StructField("sensor_id", IntegerType()), StructField("start_time", TimestampType()),
+     StructField("end_time", TimestampType())]
+    + [StructField(name, LongType() if fn == "count" else DoubleType())
+       for name, (fn, _) in PARTS.items()]
+)
+
 
 def minute_partials(readings, ts="timestamp", size=SIZE):
     """Sums, counts, minima and maxima per sensor and window.

@@ -29,22 +29,40 @@ def range_of(start, end=None, minutes=None):
     return start, end
 
 
-def time_range(table, start, end, ts="timestamp"):
-    """Rows with ``start <= ts < end``.
+def between(table, low=None, high=None, ts="timestamp"):
+    """Rows with ``low <= ts < high`` for column bounds, either of which may be left out.
 
     A table partitioned by ``date``, or by the calendar columns, is also filtered on those,
     because Spark does not derive a partition filter from a timestamp filter.
     """
-    def literal(value):
-        return F.lit(value.isoformat(" ")).cast(table.schema[ts].dataType)
-
-    rows = table.filter((F.col(ts) >= literal(start)) & (F.col(ts) < literal(end)))
+    rows = table
+    if low is not None:
+        rows = rows.filter(F.col(ts) >= low)
+    if high is not None:
+        rows = rows.filter(F.col(ts) < high)
     if "date" in table.columns and isinstance(table.schema["date"].dataType, DateType):
-        first, last = F.lit(start.date()), F.lit(end.date())
-        return rows.filter(F.col("date").between(first, last))
-    if all(part in table.columns for part in CALENDAR):
-        minute = F.concat(
+        part, of = F.col("date"), F.to_date
+    elif all(name in table.columns for name in CALENDAR):
+        part = F.concat(
             *[F.lpad(F.col(p).cast("string"), WIDTH.get(p, 2), "0") for p in CALENDAR]
         )
-        return rows.filter(minute.between(f"{start:%Y%m%d%H%M}", f"{end:%Y%m%d%H%M}"))
+
+        def of(bound):
+            return F.date_format(bound, "".join(CALENDAR.values()))
+    else:
+        return rows
+    if low is not None:
+        rows = rows.filter(part >= of(low))
+    if high is not None:
+        rows = rows.filter(part <= of(high))
     return rows
+
+
+def time_literal(table, value, ts="timestamp"):
+    """A literal of the type of ``ts``, read in the session time zone."""
+    return F.lit(as_datetime(value).isoformat(" ")).cast(table.schema[ts].dataType)
+
+
+def time_range(table, start, end, ts="timestamp"):
+    """Rows with ``start <= ts < end``."""
+    return between(table, time_literal(table, start, ts), time_literal(table, end, ts), ts)

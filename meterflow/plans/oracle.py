@@ -80,6 +80,11 @@ def _retained(seconds):
     (SELECT max("timestamp") FROM readings) - INTERVAL {seconds} SECONDS"""
 
 
+LATEST = f"""{WITH} SELECT sensor_id, event_id, "timestamp", global_active_power,
+    row_number() OVER (PARTITION BY sensor_id
+      ORDER BY "timestamp" DESC, event_id DESC)::INT AS rank
+  FROM readings QUALIFY rank <= 30"""
+
 IMPORTED = f"{WITH} SELECT * FROM ({HISTORY}) WHERE voltage IS NOT NULL"
 
 ORACLE = {
@@ -134,10 +139,8 @@ ORACLE = {
         FROM batch WHERE {RANGE.replace('"timestamp"', 'minute_start')}
         ORDER BY minute_start""",
     "pruned_range": f"{WITH} SELECT * FROM readings WHERE {RANGE}",
-    "latest_n": f"""{WITH} SELECT sensor_id, event_id, "timestamp", global_active_power,
-        row_number() OVER (PARTITION BY sensor_id
-          ORDER BY "timestamp" DESC, event_id DESC)::INT AS rank
-        FROM readings QUALIFY rank <= 30""",
+    "latest_n": LATEST,
+    "latest_n_since": LATEST,
     "forecast_features": f"""{WITH}, {RECENT}
         SELECT sensor_id, max(start_time) OVER (PARTITION BY sensor_id) AS last_time,
           (30 - rank)::INT AS place, round(load::FLOAT::DOUBLE, 6) AS "value"

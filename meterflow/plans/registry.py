@@ -6,7 +6,7 @@ from meterflow.functions.columns import calendar_parts, clamp
 from meterflow.operators import forecast, keyed, minutes
 from meterflow.operators.ranges import range_of, time_range
 from meterflow.plans import reports
-from meterflow.plans.serving import merged_view
+from meterflow.plans.serving import merged_view, stored_batch_view
 from meterflow.schema import BATCH_VIEW, BOUNDS, MEASURES, SPEED_VIEW
 from meterflow.session import work_folder
 from meterflow.sources import events as source
@@ -43,12 +43,13 @@ def parse_readings(spark, sf_dir):
 
 def encode_messages(spark, sf_dir):
     records = source.as_records(source.events(spark, sf_dir))
-    value = F.col("value").cast("string")
-    return records.select(
+    fields = ["time", *MEASURES]
+    text = records.select(
         F.col("offset").alias("event_id"),
         F.col("key").cast("string").alias("key"),
-        *[F.get_json_object(value, f"$.{f}").cast("double").alias(f) for f in ("time", *MEASURES)],
+        F.json_tuple(F.col("value").cast("string"), *fields).alias(*fields),
     )
+    return text.withColumns({f: F.col(f).cast("double") for f in fields})
 
 
 def history_text(spark, sf_dir):
@@ -135,8 +136,7 @@ def stream_batch_minute(spark, sf_dir):
         read_messages(spark, "parquet", per_batch, records.schema)
     )
     jobs.await_all([jobs.start_batch(live, work_folder(spark, "batch-progress"), root, trigger=ONCE)])
-    stored = tables.read_batches(spark, root, minutes.minute_partials(live).schema)
-    return rounded(naive(minutes.batch_from_partials(stored), "timestamp"), AVERAGES, 9)
+    return rounded(naive(stored_batch_view(spark, root), "timestamp"), AVERAGES, 9)
 
 
 def stream_raw_readings(spark, sf_dir):
@@ -212,6 +212,16 @@ def latest_n(spark, sf_dir):
     return keyed.latest_n(rows, 30, order=["timestamp", "event_id"])
 
 
+def latest_n_since(spark, sf_dir):
+    """The same rows, older ones read only for sensors with few rows in the last two weeks."""
+    rows = source.readings(spark, sf_dir).select(
+        "timestamp", "sensor_id", "event_id", "global_active_power"
+    )
+    since = rows.agg(F.max("timestamp")).scalar() - F.expr("INTERVAL 14 DAYS")
+    known = keyed.sensors(rows)
+    return keyed.latest_n_since(rows, 30, since, known, order=["timestamp", "event_id"])
+
+
 def forecast_input(spark, sf_dir):
     """Minute averages per sensor, the input of all forecasts."""
     return minutes.speed_minutes(source.readings(spark, sf_dir))
@@ -289,6 +299,7 @@ QUERIES = {
     "batch_power_factor": batch_power_factor,
     "pruned_range": pruned_range,
     "latest_n": latest_n,
+    "latest_n_since": latest_n_since,
     "forecast_features": forecast_features,
     "forecast_trend": forecast_trend,
     "forecast_score": forecast_score,

@@ -1,4 +1,8 @@
-"""Time-range reports over the batch table (minute rows stamped with ``timestamp``)."""
+"""Time-range reports over the batch table (minute rows stamped with ``timestamp``).
+
+Ordered reports break ties by the measures, which also lets the sort split a timestamp that
+holds very many rows.
+"""
 
 from pyspark.sql import functions as F
 
@@ -18,7 +22,7 @@ def power_factor(table, start, end):
     return rows.select(
         "timestamp", "global_active_power", "global_reactive_power",
         factor.alias("power_factor"),
-    ).orderBy("timestamp")
+    ).orderBy("timestamp", "global_active_power", "global_reactive_power")
 
 
 def high_power(table, min_power, start, minutes):
@@ -27,5 +31,5 @@ def high_power(table, min_power, start, minutes):
     return (
         rows.filter(F.col("global_active_power") > min_power)
         .select("timestamp", "global_active_power")
-        .orderBy("timestamp")
+        .orderBy("timestamp", "global_active_power")
     )

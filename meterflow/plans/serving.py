@@ -1,6 +1,26 @@
-"""Serving layer: one view over the batch and the speed layer."""
+"""Serving layer: the stored views, and one view over the batch and the speed layer."""
 
-from pyspark.sql import functions as F
+from meterflow.operators.minutes import PARTIALS, batch_from_partials, speed_from_partials
+from meterflow.operators.ranges import between, range_of, time_literal, time_range
+from meterflow.sources.tables import read_batches
+
+
+def stored_partials(spark, root, start=None, end=None):
+    """Partials of the batch layer; with a range, only its date folders are read."""
+    partials = read_batches(spark, root, PARTIALS)
+    if start is None and end is None:
+        return partials
+    return time_range(partials, *range_of(start, end), ts="start_time")
+
+
+def stored_batch_view(spark, root, start=None, end=None):
+    """The batch view, one row per window over all sensors."""
+    return batch_from_partials(stored_partials(spark, root, start, end))
+
+
+def stored_sensor_view(spark, root, start=None, end=None):
+    """The batch layer with the columns of the speed view, one row per sensor and window."""
+    return speed_from_partials(stored_partials(spark, root, start, end))
 
 
 def merged_view(batch, speed, horizon, ts="start_time"):
@@ -10,8 +30,6 @@ def merged_view(batch, speed, horizon, ts="start_time"):
     window comes from one layer only, whatever both of them hold.
     """
     shared = [c for c in speed.columns if c in batch.columns]
-    horizon = F.lit(str(horizon)).cast(batch.schema[ts].dataType)
-    return (
-        batch.select(*shared).filter(F.col(ts) < horizon)
-        .unionByName(speed.select(*shared).filter(F.col(ts) >= horizon))
-    )
+    horizon = time_literal(batch, horizon, ts)
+    closed = between(batch, high=horizon, ts=ts).select(*shared)
+    return closed.unionByName(between(speed, horizon, ts=ts).select(*shared))

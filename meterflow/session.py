@@ -42,3 +42,12 @@ def work_folder(spark, name):
     if spark.conf.get("spark.master", "").startswith("local"):
         return tempfile.mkdtemp(prefix=f"meterflow-{name}-")
     raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+
+
+def written(frame, name):
+    """The frame as a table in the shared folder: computed once, safe from lost executors,
+    and of a size the planner knows when it chooses a join."""
+    spark = frame.sparkSession
+    folder = work_folder(spark, name)
+    frame.write.parquet(folder, mode="overwrite")
+    return spark.read.schema(frame.schema).parquet(folder)

@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.operators.keyed import dedupe_last_write, latest_n, retain_recent, sensors
+from meterflow.operators.keyed import (
+    dedupe_last_write, latest_n, latest_n_since, retain_recent, sensors,
+)
 
 
 def test_last_write_wins(spark):
@@ -52,6 +54,29 @@ def test_latest_n_limits_groups_inside_map_tasks(spark, plan):
     assert text.count("WindowGroupLimit") == 4 and text.count("Exchange") == 2
 
 
+@pytest.mark.parametrize("since", [0, 15, 30, 39, 100])
+def test_latest_n_since_gives_the_same_rows(spark, tmp_path, since):
+    rng = random.Random(3)
+    rows = [(rng.choice([1, 1, 1, 2, 3, 4]), rng.randrange(40), i) for i in range(200)]
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows, "sensor_id int, t int, event int").write.parquet(path)
+    frame = spark.read.parquet(path)
+    got = latest_n_since(frame, 12, F.lit(since), sensors(frame), order=["t", "event"])
+    assert sorted(map(tuple, got.collect())) == brute(rows, 12)
+
+
+def test_latest_n_since_leaves_the_older_scan_out(spark, tmp_path, plan):
+    path = str(tmp_path / "rows")
+    spark.range(1000).selectExpr("cast(id % 2 as int) sensor_id", "id as t").write.parquet(path)
+    frame = spark.read.parquet(path)
+    for since, scans in ((900, 1), (990, 2)):
+        got = latest_n_since(frame, 20, F.lit(since), sensors(frame), order=["t"])
+        assert "BroadcastHashJoin" in plan(got)
+        got.collect()
+        final = plan(got).split("Initial Plan")[0]
+        assert final.count("FileScan") - final.count("unfinished-") == scans, final
+
+
 def test_retention_is_exclusive_at_the_edge(spark):
     rows = spark.sql(
         "select timestamp_seconds(s) as timestamp from values (0), (700), (701), (1000) as v(s)")
