@@ -1,13 +1,14 @@
 """Serving layer: the stored views, and one view over the batch and the speed layer."""
 
-from meterflow.operators.minutes import PARTIALS, batch_from_partials, speed_from_partials
+from meterflow.operators.minutes import batch_from_partials, speed_from_partials
 from meterflow.operators.ranges import between, range_of, time_literal, time_range
-from meterflow.sources.tables import read_batches
+from meterflow.sources.partials import read_partials
+from meterflow.sources.tables import write_by_date
 
 
 def stored_partials(spark, root, start=None, end=None):
     """Partials of the batch layer; with a range, only its date folders are read."""
-    partials = read_batches(spark, root, PARTIALS)
+    partials = read_partials(spark, root)
     if start is None and end is None:
         return partials
     return time_range(partials, *range_of(start, end), ts="start_time")
@@ -23,6 +24,15 @@ def stored_sensor_view(spark, root, start=None, end=None):
     return speed_from_partials(stored_partials(spark, root, start, end))
 
 
+def publish_batch_view(spark, root, path, start=None, end=None):
+    """Write the batch view as a plain table by date for other readers.
+
+    Days in the range are replaced, so a range must cover whole days.
+    """
+    view = stored_batch_view(spark, root, start, end)
+    write_by_date(view, path, mode="overwrite", keep_other_days=True)
+
+
 def merged_view(batch, speed, horizon, ts="start_time"):
     """Batch rows before ``horizon``, speed rows from it on.
 

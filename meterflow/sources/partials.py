@@ -1,0 +1,78 @@
+"""The store of the batch layer: mergeable partials per micro-batch, folded by day.
+
+Folders under the root:
+
+``batches/batch_id=N/date=D``  partials of one micro-batch
+``folded/upto=N/date=D``       partials of one day merged from all micro-batches up to N
+``folds``                      (date, upto) of every finished fold
+"""
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, LongType, StructField, StructType
+
+from meterflow.operators.minutes import PARTIALS, merge_partials
+from meterflow.sources.tables import batch_folder, write_by_date
+
+DATE = StructField("date", DateType())
+ORDER = ["start_time", "sensor_id"]
+
+
+def create_store(spark, root):
+    """Make the folders of a new store; an existing store stays as it is."""
+    nothing = spark.createDataFrame([], PARTIALS).withColumn("date", F.to_date("start_time"))
+    nothing.write.mode("ignore").partitionBy("date").parquet(f"{root}/batches")
+    nothing.write.mode("ignore").partitionBy("date").parquet(f"{root}/folded")
+    folds = nothing.select("date", F.lit(0).cast("long").alias("upto"))
+    folds.write.mode("ignore").parquet(f"{root}/folds")
+
+
+def partials_writer(root):
+    """The ``foreachBatch`` function of the store; a repeated micro-batch replaces itself."""
+    return batch_folder(f"{root}/batches", order=ORDER)
+
+
+def _read(spark, root):
+    def partials(folder, number):
+        schema = StructType([*PARTIALS, StructField(number, LongType()), DATE])
+        return spark.read.schema(schema).parquet(f"{root}/{folder}")
+
+    batches, folded = partials("batches", "batch_id"), partials("folded", "upto")
+    folds = spark.read.schema("date date, upto long").parquet(f"{root}/folds")
+    # One row per day of the store, so it stays small however much data the days hold.
+    newest = F.broadcast(folds.groupBy("date").agg(F.max("upto").alias("upto")))
+    open_rows = batches.join(newest, "date", "left").filter(
+        F.col("upto").isNull() | (F.col("batch_id") > F.col("upto"))
+    )
+    return open_rows, folded.join(newest, ["date", "upto"], "left_semi")
+
+
+def read_partials(spark, root):
+    """Every reading's contribution once: the newest fold of each day and what came after."""
+    open_rows, folded = _read(spark, root)
+    columns = [*PARTIALS.names, "date"]
+    return folded.select(*columns).unionByName(open_rows.select(*columns))
+
+
+def fold_batches(spark, root, upto):
+    """Merge all micro-batches up to ``upto`` into few files per day.
+
+    ``upto`` is a micro-batch the stream has finished, such as ``lastProgress`` reports. Only
+    days with new micro-batches are written, to a new folder that readers take up with the
+    last step, so it may be run again at any point. The micro-batch folders up to ``upto`` are
+    not read any more afterwards.
+    """
+    open_rows, folded = _read(spark, root)
+    new = open_rows.filter(F.col("batch_id") <= upto).select(*PARTIALS.names, "date")
+    if new.isEmpty():
+        return
+    days = F.broadcast(new.select("date").distinct())
+    old = folded.join(days, "date", "left_semi").select(*new.columns)
+    merged = merge_partials(new.unionByName(old).drop("date"))
+    folder = f"{root}/folded/upto={int(upto)}"
+    write_by_date(merged, folder, "start_time", ORDER, mode="overwrite")
+    finished = (
+        spark.read.schema(StructType([*PARTIALS, DATE])).parquet(folder).select("date").distinct()
+    )
+    finished.withColumn("upto", F.lit(int(upto)).cast("long")).coalesce(1).write.mode(
+        "append"
+    ).parquet(f"{root}/folds")

@@ -7,23 +7,31 @@ from meterflow.schema import CALENDAR
 
 
 def write_by_date(rows, path, ts="timestamp", order=None, mode="append", files=None,
-                  spread=("sensor_id",)):
+                  spread=("sensor_id",), keep_other_days=False):
     """Append rows under one ``date`` folder per day, sorted within each file.
 
     The rebalance puts the rows of a day together; adaptive execution splits a day that is
     too large for one task and joins small ones. Where there is no adaptive execution, give
     ``files`` to spread the rows over so many tasks by the ``spread`` columns instead.
     ``order`` names sort columns, by default ``ts``, so that a range inside a day skips pages
-    of the file.
+    of the file. With ``mode="overwrite"`` and ``keep_other_days`` only the days among the
+    rows are replaced.
     """
     dated = rows.withColumn("date", F.to_date(ts))
     dated = dated.repartition(files, *spread) if files else dated.hint("rebalance", "date")
     (
         dated.sortWithinPartitions("date", *(order or [ts]))
-        .write.mode(mode).partitionBy("date").parquet(path)
+        .write.mode(mode)
+        .option("partitionOverwriteMode", "dynamic" if keep_other_days else "static")
+        .partitionBy("date").parquet(path)
     )
 
 
+def append_to(rows, fmt, options=None):
+    """Append rows to any sink: a topic, a keyed store, a table."""
+    rows.write.format(fmt).options(**(options or {})).mode("append").save()
+
+
 def write_by_minute(rows, path, ts="timestamp", mode="append"):
     """Append rows under year/month/day/hour/minute folders.
 
