@@ -24,13 +24,14 @@ def stored_sensor_view(spark, root, start=None, end=None):
     return speed_from_partials(stored_partials(spark, root, start, end))
 
 
-def publish_batch_view(spark, root, path, start=None, end=None):
+def publish_batch_view(spark, root, path, start=None, end=None, by_sensor=False):
     """Write the batch view as a plain table by date for other readers.
 
     Days in the range are replaced, so a range must cover whole days.
     """
-    view = stored_batch_view(spark, root, start, end)
-    write_by_date(view, path, mode="overwrite", keep_other_days=True)
+    read, ts = (stored_sensor_view, "start_time") if by_sensor else (stored_batch_view, "timestamp")
+    view = read(spark, root, start, end)
+    write_by_date(view, path, ts, mode="overwrite", keep_other_days=True)
 
 
 def merged_view(batch, speed, horizon, ts="start_time"):

@@ -1,0 +1,73 @@
+import json
+
+import pytest
+
+from meterflow.__main__ import parser
+from meterflow.schema import MEASURES
+
+HEADER = "Date;Time;" + ";".join(m.capitalize() for m in MEASURES)
+
+
+def run(spark, *argv):
+    args = parser().parse_args([str(a) for a in argv])
+    args.run(spark, args)
+
+
+def put_topic(folder):
+    folder.mkdir()
+    start = 1700000040000
+    lines = [json.dumps({"time": start + 1000 * s, **{m: 1.0 + s % 7 for m in MEASURES}})
+             for s in range(60 * 40)]
+    (folder / "a.json").write_text("\n".join(lines) + "\n")
+    return ["--source", "text", "--option", f"path={folder}", "--schema", "value string", "--once"]
+
+
+def test_streams_then_reports_and_forecast(spark, tmp_path):
+    source = put_topic(tmp_path / "topic")
+    run(spark, "speed", *source, "--checkpoint", tmp_path / "c1", "--out", tmp_path / "live")
+    assert spark.read.parquet(str(tmp_path / "live/raw")).count() == 2400
+    assert spark.read.parquet(str(tmp_path / "live/speed")).count() == 38
+    root, view = tmp_path / "batch", tmp_path / "view"
+    run(spark, "batch", *source, "--checkpoint", tmp_path / "c2", "--out", root)
+    run(spark, "fold", "--root", root, "--upto", 0)
+    run(spark, "publish", "--root", root, "--out", view)
+    assert spark.read.parquet(str(view)).count() == 40
+    report = ["--path", view, "--start", "2023-11-14 22:20:00", "--out", tmp_path / "r"]
+    run(spark, "voltage", *report)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 5
+    run(spark, "power-factor", *report, "--end", "2023-11-14 22:30:00")
+    assert spark.read.parquet(str(tmp_path / "r")).columns[-1] == "power_factor"
+    run(spark, "high-power", *report, "--minutes", 10, "--min-power", 0.5)
+    assert spark.read.parquet(str(tmp_path / "r")).count() == 10
+    run(spark, "forecast", "--path", view, "--sink", "parquet", "--sink-option",
+        f"path={tmp_path / 'p'}")
+    run(spark, "publish", "--root", root, "--out", tmp_path / "sensors", "--by-sensor")
+    run(spark, "forecast", "--path", tmp_path / "sensors", "--out", tmp_path / "q",
+        "--time", "start_time", "--value", "avg_global_active_power")
+    row = spark.read.parquet(str(tmp_path / "p")).first()
+    assert spark.read.parquet(str(tmp_path / "q")).first().prediction6 == row.prediction6
+    assert row.sensor_id == 1 and row.prediction6 == pytest.approx(4.0, abs=0.1)
+
+
+@pytest.mark.parametrize("layout", [[], ["--by-minute"]])
+def test_backfill_then_report_on_a_catalog_table(spark, tmp_path, layout, capfd):
+    (tmp_path / "h.csv").write_text(
+        HEADER + "\n16/12/2006;17:24:00;4;0.4;234.8;18.4;0;1;17\n16/12/2006;17:25:00;?;?;?;?;?;?;?\n")
+    run(spark, "backfill", "--csv", tmp_path / "h.csv", "--sep", ";", "--out", tmp_path / "t",
+        "--counts", *layout)
+    name = f"history_{len(layout)}"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    from meterflow.sources.tables import declare_table
+    parts = dict.fromkeys(["year", "month", "day", "hour", "minute"], "string")
+    declare_table(spark, name, str(tmp_path / "t"),
+                  {"timestamp": "timestamp", **dict.fromkeys(MEASURES, "double")},
+                  parts if layout else {"date": "date"})
+    run(spark, "voltage", "--table", name, "--repair", "--start", "2006-12-16 17:24:00")
+    assert "234.8" in capfd.readouterr().out
+
+
+def test_bad_arguments(spark, tmp_path):
+    with pytest.raises(SystemExit):
+        parser().parse_args(["voltage", "--start", "2006-12-16 17:24:00"])
+    with pytest.raises(ValueError):
+        run(spark, "voltage", "--path", "/root/testdata/sf0.001/events.parquet", "--start", "never")
