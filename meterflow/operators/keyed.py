@@ -29,13 +29,14 @@ def retain_recent(rows, seconds, anchor=None, ts="timestamp"):
 def latest_n(rows, n, keys=("sensor_id",), order=("timestamp",), salts=16, rank="rank"):
     """The ``n`` newest rows of each key, numbered from 1 for the newest.
 
-    A first pass keeps ``n`` rows per key and salt, so that the rows of a hot key meet in
-    ``salts`` tasks and the second pass sees at most ``n * salts`` rows per key. Each pass
-    also limits the groups within every map task ahead of its shuffle.
+    Within every map task Spark keeps ``n`` rows per key before it shuffles. A hot key then
+    still has ``n`` rows from each of very many tasks. So a first pass groups the map tasks
+    into ``salts`` groups and keeps ``n`` rows per key and group, and the second pass sees at
+    most ``n * salts`` rows per key. Give 1 where no key has many more rows than others.
     """
     newest = [F.desc(c) for c in order]
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*order), F.lit(salts))
+        salt = F.spark_partition_id() % salts
         spread = Window.partitionBy(*keys, "_salt").orderBy(*newest)
         rows = (
             rows.withColumn("_salt", salt)
