@@ -1,6 +1,9 @@
 from pyspark.sql import functions as F
 
-from meterflow.schema import CALENDAR, INFINITE_TEXT, NA_TEXT
+from meterflow.schema import CALENDAR, NA_TEXT
+
+# Ends of text that the cast to double takes and that are no numbers: 1.5d, 2f, nan.
+NOT_A_MEASURE = r"(?:[dD]|[0-9.][fF]|[nN])\s*$"
 
 
 def event_time(epoch_ms):
@@ -35,13 +38,11 @@ def power_factor(active, reactive):
 def measure_from_text(text):
     """Number in a text column, null where the text is not a number.
 
-    The cast would also take Java's type suffixes ("1.5d", "2f") and keep NaN, which counts as
-    missing here. With one suffix put on, a second one and "nan" no longer parse. Only what
-    is left is compared with the spellings of infinity.
+    The cast alone would also take Java's type suffixes ("1.5d", "2f") and keep NaN, which
+    counts as missing here; "inf" stays a number. The expression is kept small, because the
+    null check of an import repeats it in the same generated method.
     """
-    trimmed = F.trim(text, F.lit(" \t\r\n"))
-    infinite = F.when(F.lower(trimmed).isin(INFINITE_TEXT), trimmed.try_cast("double"))
-    return F.coalesce(F.concat(trimmed, F.lit("d")).try_cast("double"), infinite)
+    return F.when(~text.rlike(NOT_A_MEASURE), text.try_cast("double"))
 
 
 def text_or_null(text):

@@ -21,16 +21,18 @@ def window_view(readings, view, keys=(), ts="timestamp", size=SIZE):
     Readings without event time belong to no window. On a stream, set the watermark first.
     """
     aggregates = [FIRST[fn](measure).alias(name) for name, fn, measure in view]
-    window = F.window(ts, size).alias("window")
-    bounds = [F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time")]
+    names = [name for name, _, _ in view]
+    window = F.window(ts, size)
     if readings.isStreaming:
         # Only the window column itself tells the state store when a group is closed.
-        names = [name for name, _, _ in view]
+        bounds = [F.col("window.start").alias("start_time"), F.col("window.end").alias("end_time")]
         return readings.groupBy(*keys, window).agg(*aggregates).select(*keys, *bounds, *names)
-    # Plain key columns, so that merging partials by them needs no second shuffle.
+    # The start alone is the smaller key, and merging partials by it needs no second shuffle.
     measures = list(dict.fromkeys(measure for _, _, measure in view))
-    rows = readings.select(*keys, *measures, window).select(*keys, *measures, *bounds)
-    return rows.groupBy(*keys, "start_time", "end_time").agg(*aggregates)
+    rows = readings.select(*keys, *measures, window.start.alias("start_time"))
+    end = F.window("start_time", size).end.alias("end_time")
+    grouped = rows.groupBy(*keys, "start_time").agg(*aggregates)
+    return grouped.select(*keys, "start_time", end, *names)
 
 
 def speed_minutes(readings, ts="timestamp", size=SIZE):

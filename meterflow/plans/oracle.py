@@ -112,6 +112,8 @@ ORACLE = {
     "stream_speed_minute": f"""{WITH} SELECT * FROM ({_speed()}) WHERE end_time <=
         (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 MINUTE""",
     "stream_batch_minute": f"{WITH} {BATCH}",
+    "folded_batch_minute": f"{WITH} {_speed()}",
+    "stream_drop_repeats": f"{WITH} {MILLISECONDS}",
     "stream_raw_readings": f"{WITH} {MILLISECONDS}",
     "dedupe_last_write": _last_write(
         "minute_start", "date_trunc('minute', \"timestamp\")::TIMESTAMP"),

@@ -6,12 +6,13 @@ from meterflow.functions.columns import calendar_parts, clamp
 from meterflow.operators import forecast, keyed, minutes
 from meterflow.operators.ranges import range_of, time_range
 from meterflow.plans import reports
-from meterflow.plans.serving import merged_view, stored_batch_view
+from meterflow.plans.serving import merged_view, stored_batch_view, stored_sensor_view
 from meterflow.schema import BATCH_VIEW, BOUNDS, MEASURES, SPEED_VIEW
 from meterflow.session import work_folder
 from meterflow.sources import events as source
 from meterflow.sources import history, tables
 from meterflow.sources.messages import read_messages
+from meterflow.sources.partials import fold_batches
 from meterflow.streaming import jobs
 
 # Range of the reports: four whole weeks inside the month the events cover.
@@ -125,18 +126,48 @@ def stream_speed_minute(spark, sf_dir):
     return rounded(naive(stored, "start_time", "end_time"), AVERAGES, 9)
 
 
-def stream_batch_minute(spark, sf_dir):
-    """Four micro-batches that cut through the minutes, merged on reading."""
-    topic, root = work_folder(spark, "topic"), work_folder(spark, "batch")
+def live_topic(spark, sf_dir, batches, copies=1):
+    """Parsed readings of a topic that comes in so many micro-batches, each event that often."""
+    topic = work_folder(spark, "topic")
     records = source.as_records(source.events(spark, sf_dir))
-    parts = max(4, records.rdd.getNumPartitions())
+    parts = max(batches, records.rdd.getNumPartitions())
+    if copies > 1:
+        again = F.explode(F.sequence(F.lit(1), F.lit(copies))).alias("copy")
+        records = records.select("*", again).drop("copy")
     records.repartition(parts).write.parquet(topic, mode="overwrite")
-    per_batch = {"path": topic, "maxFilesPerTrigger": -(-parts // 4)}
-    live = source.parse_records(
-        read_messages(spark, "parquet", per_batch, records.schema)
-    )
-    jobs.await_all([jobs.start_batch(live, work_folder(spark, "batch-progress"), root, trigger=ONCE)])
-    return rounded(naive(stored_batch_view(spark, root), "timestamp"), AVERAGES, 9)
+    options = {"path": topic, "maxFilesPerTrigger": -(-parts // batches)}
+    return source.parse_records(read_messages(spark, "parquet", options, records.schema))
+
+
+def stored_batches(spark, sf_dir):
+    """The batch layer after four micro-batches that cut through the minutes."""
+    root, checkpoint = work_folder(spark, "batch"), work_folder(spark, "batch-progress")
+    live = live_topic(spark, sf_dir, 4)
+    jobs.await_all([jobs.start_batch(live, checkpoint, root, trigger=ONCE)])
+    return root
+
+
+def stream_batch_minute(spark, sf_dir):
+    view = stored_batch_view(spark, stored_batches(spark, sf_dir))
+    return rounded(naive(view, "timestamp"), AVERAGES, 9)
+
+
+def folded_batch_minute(spark, sf_dir):
+    """The same view with the first two micro-batches, then the first three, folded by day."""
+    root = stored_batches(spark, sf_dir)
+    for upto in (1, 2):
+        fold_batches(spark, root, upto)
+    view = stored_sensor_view(spark, root)
+    return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)
+
+
+def stream_drop_repeats(spark, sf_dir):
+    """Every message sent twice, stored once."""
+    path, checkpoint = work_folder(spark, "once"), work_folder(spark, "once-progress")
+    live = live_topic(spark, sf_dir, 1, copies=2)
+    jobs.await_all([jobs.start_raw(jobs.drop_repeats(live), checkpoint, path, trigger=ONCE)])
+    stored = spark.read.schema(live.schema).parquet(path).drop("date")
+    return naive(stored.withColumnRenamed("offset", "event_id"), "timestamp")
 
 
 def stream_raw_readings(spark, sf_dir):
@@ -286,6 +317,8 @@ QUERIES = {
     "partials_minute": partials_minute,
     "stream_speed_minute": stream_speed_minute,
     "stream_batch_minute": stream_batch_minute,
+    "folded_batch_minute": folded_batch_minute,
+    "stream_drop_repeats": stream_drop_repeats,
     "stream_raw_readings": stream_raw_readings,
     "dedupe_last_write": dedupe_last_write,
     "dedupe_sensor_day": dedupe_sensor_day,

@@ -49,9 +49,6 @@ NA_TEXT = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
 ]
 
-# Spellings of infinity that count as numbers.
-INFINITE_TEXT = ["inf", "+inf", "-inf", "infinity", "+infinity", "-infinity"]
-
 # Length of the forecast input and of its output.
 FORECAST_INPUT = 30
 FORECAST_STEPS = 6

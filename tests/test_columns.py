@@ -32,9 +32,9 @@ def test_power_factor_without_power_is_null(spark):
 
 
 def test_measure_from_text(spark):
-    text = ["1.5", "1.5 ", "1e3", "-2", "?", "", None, "nan", "NaN", "1.5d", "2f", "1,5", "inf"]
+    text = ["1.5", "1.5 ", "1e3", "-2", "?", "", None, "nan", "NaN", "1.5d", "2f", "1,5", "\t7 ", "inf", "-Infinity"]
     got = values(spark, "string", text, measure_from_text)
-    assert got == [1.5, 1.5, 1000.0, -2.0] + [None] * 8 + [math.inf]
+    assert got == [1.5, 1.5, 1000.0, -2.0] + [None] * 8 + [7.0, math.inf, -math.inf]
 
 
 def test_timestamp_from_text_is_day_first(spark):
