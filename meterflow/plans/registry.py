@@ -163,10 +163,10 @@ def folded_batch_minute(spark, sf_dir):
 
 def stream_drop_repeats(spark, sf_dir):
     """Every message sent twice, stored once."""
-    path, checkpoint = work_folder(spark, "once"), work_folder(spark, "once-progress")
+    root, checkpoint = work_folder(spark, "once"), work_folder(spark, "once-progress")
     live = live_topic(spark, sf_dir, 1, copies=2)
-    jobs.await_all([jobs.start_raw(jobs.drop_repeats(live), checkpoint, path, trigger=ONCE)])
-    stored = spark.read.schema(live.schema).parquet(path).drop("date")
+    jobs.await_all([jobs.start_raw_once(live, checkpoint, root, trigger=ONCE)])
+    stored = tables.read_batches(spark, root, live.schema).drop("batch_id", "date")
     return naive(stored.withColumnRenamed("offset", "event_id"), "timestamp")
 
 

@@ -90,14 +90,27 @@ def drop_before(spark, name, first_kept):
     return len(old)
 
 
-def batch_folder(root, ts="start_time", order=("start_time", "sensor_id"), files=None):
+def batch_folder(root, ts="start_time", order=("start_time", "sensor_id"), rows_per_file=None):
     """A ``foreachBatch`` function that keeps each micro-batch in a folder of its own.
 
     A micro-batch that is run again overwrites its own folder, so nothing counts twice.
+
+    Give ``rows_per_file`` for a stateful stream. It has no adaptive execution, and one task
+    per state partition would write a small file each, while a fixed number of files would
+    not do for a backlog. So the rows are kept, counted, and spread over as many tasks as
+    they need.
     """
     def write(rows, batch_id):
         folder = f"{root}/batch_id={batch_id}"
-        write_by_date(rows, folder, ts, list(order), mode="overwrite", files=files)
+        if rows_per_file is None:
+            write_by_date(rows, folder, ts, list(order), mode="overwrite")
+            return
+        rows.persist()
+        try:
+            files = max(1, -(-rows.count() // rows_per_file))
+            write_by_date(rows, folder, ts, list(order), mode="overwrite", files=files)
+        finally:
+            rows.unpersist()
 
     return write
 
