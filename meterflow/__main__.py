@@ -28,12 +28,20 @@ def run_speed(spark, args):
     """Raw readings and the speed view, side by side."""
     readings = live_readings(spark, args)
     trigger = {"availableNow": True} if args.once else None
-    jobs.await_all([
-        jobs.start_raw(readings, f"{args.checkpoint}/raw", f"{args.out}/raw",
-                       args.retention, trigger, "raw"),
-        jobs.start_speed(readings, f"{args.checkpoint}/speed", f"{args.out}/speed",
-                         trigger=trigger, name="speed"),
-    ])
+    raw, speed = f"{args.checkpoint}/raw", f"{args.checkpoint}/speed"
+    if args.sink:
+        queries = [
+            jobs.start_append(readings.drop("timestamp"), raw, args.sink,
+                              pairs(args.raw_option), trigger=trigger, name="raw"),
+            jobs.start_append(jobs.speed_stream(readings), speed, args.sink,
+                              pairs(args.speed_option), trigger=trigger, name="speed"),
+        ]
+    else:
+        queries = [
+            jobs.start_raw(readings, raw, f"{args.out}/raw", args.retention, trigger, "raw"),
+            jobs.start_speed(readings, speed, f"{args.out}/speed", trigger=trigger, name="speed"),
+        ]
+    jobs.await_all(queries)
 
 
 def run_batch(spark, args):
@@ -126,7 +134,6 @@ def parser():
     stream.add_argument("--sensor", help="SQL expression for the sensor id, such as "
                                          "\"cast(key as string)\"; 1 if left out")
     stream.add_argument("--checkpoint", required=True)
-    stream.add_argument("--out", required=True)
     stream.add_argument("--once", action="store_true", help="stop when the source is read")
 
     table = argparse.ArgumentParser(add_help=False)
@@ -139,8 +146,14 @@ def parser():
     table.add_argument("--show", type=int, default=50, help="rows to print")
 
     speed = command("speed", run_speed, stream)
-    speed.add_argument("--retention", default="300s", help="lifetime of raw files")
+    target = speed.add_mutually_exclusive_group(required=True)
+    target.add_argument("--out", help="folder for Parquet tables")
+    target.add_argument("--sink", help="format of a keyed store or another sink")
+    speed.add_argument("--raw-option", action="append", metavar="K=V", help="sink option")
+    speed.add_argument("--speed-option", action="append", metavar="K=V", help="sink option")
+    speed.add_argument("--retention", default="300s", help="lifetime of raw files under --out")
     batch = command("batch", run_batch, stream)
+    batch.add_argument("--out", required=True)
     batch.add_argument("--every", default="1 minute")
     fold = command("fold", run_fold)
     fold.add_argument("--root", required=True)

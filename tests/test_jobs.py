@@ -49,6 +49,15 @@ def test_streams_then_reports_and_forecast(spark, tmp_path):
     assert row.sensor_id == 1 and row.prediction6 == pytest.approx(4.0, abs=0.1)
 
 
+def test_streams_to_another_sink(spark, tmp_path):
+    source = put_topic(tmp_path / "topic")
+    run(spark, "speed", *source, "--checkpoint", tmp_path / "c", "--sink", "json",
+        "--raw-option", f"path={tmp_path / 'raw'}", "--speed-option", f"path={tmp_path / 'speed'}")
+    raw, speed = (spark.read.json(str(tmp_path / name)) for name in ("raw", "speed"))
+    assert raw.count() == 2400 and set(raw.columns) == {"sensor_id", "time", *MEASURES}
+    assert speed.count() == 38 and "avg_voltage" in speed.columns
+
+
 @pytest.mark.parametrize("layout", [[], ["--by-minute"]])
 def test_backfill_then_report_on_a_catalog_table(spark, tmp_path, layout, capfd):
     (tmp_path / "h.csv").write_text(

@@ -26,3 +26,21 @@ def test_every_query_has_sql():
 
 def test_entry_runs(spark):
     assert entry(spark).count() > 0
+
+
+@pytest.mark.parametrize("name, shuffles", [
+    ("parse_readings", 0), ("encode_readings", 0), ("import_clean", 0), ("clamp_readings", 0),
+    ("calendar_parts", 0), ("voltage_range", 0), ("speed_minute", 1), ("batch_minute", 1),
+    ("partials_minute", 1), ("dedupe_last_write", 1), ("sensor_dim", 1), ("power_factor", 1),
+    ("high_power", 1), ("latest_n", 2), ("forecast_features", 2), ("forecast_trend", 2),
+    ("merged_view", 2),
+])
+def test_plans_stay_in_the_jvm_and_shuffle_as_little_as_they_can(spark, plan, name, shuffles):
+    text = plan(queries()[name](spark, SMALL))
+    assert text.count("Exchange") == shuffles
+    assert "Python" not in text and "Pandas" not in text and "CartesianProduct" not in text
+
+
+def test_reports_read_only_their_columns(spark, plan):
+    assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in plan(queries()["high_power"](spark, SMALL))
+    assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in plan(queries()["voltage_range"](spark, SMALL))
