@@ -5,6 +5,7 @@ import argparse
 from pyspark.sql import functions as F
 
 from meterflow.operators.forecast import forecast_trend
+from meterflow.operators.ranges import time_literal
 from meterflow.plans import reports, serving
 from meterflow.session import build_session
 from meterflow.sources import history, tables
@@ -110,7 +111,9 @@ def run_forecast(spark, args):
     if "sensor_id" not in table.columns:
         table = table.withColumn("sensor_id", F.lit(1))
     predictions = forecast_trend(
-        table, args.time, args.value, prediction_time=F.current_timestamp()
+        table, args.time, args.value, prediction_time=F.current_timestamp(),
+        since=time_literal(table, args.since, args.time) if args.since else None,
+        known=spark.read.parquet(args.sensors) if args.sensors else None,
     )
     if args.sink:
         tables.append_to(predictions, args.sink, pairs(args.sink_option))
@@ -185,6 +188,8 @@ def parser():
     predict = command("forecast", run_forecast, table)
     predict.add_argument("--time", default="timestamp")
     predict.add_argument("--value", default="global_active_power")
+    predict.add_argument("--since", help="read older rows only for sensors that need them")
+    predict.add_argument("--sensors", help="Parquet folder of all sensor ids, for --since")
     predict.add_argument("--sink", help="format of a sink to append to")
     predict.add_argument("--sink-option", action="append", metavar="K=V")
     return top

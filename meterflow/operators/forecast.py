@@ -3,29 +3,37 @@
 from pyspark.sql import functions as F
 
 from meterflow.functions.columns import rectify
-from meterflow.operators.keyed import latest_n
+from meterflow.operators.keyed import latest_n, latest_n_since, sensors
+from meterflow.operators.ranges import time_partitions
 from meterflow.schema import FORECAST_INPUT, FORECAST_STEPS
 
 PREDICTIONS = [f"prediction{step}" for step in range(1, FORECAST_STEPS + 1)]
 
 
-def recent_load(minutes, ts, value, n=FORECAST_INPUT, order=None, salts=1):
+def recent_load(minutes, ts, value, n=FORECAST_INPUT, order=None, since=None, known=None):
     """The ``n`` newest values of each sensor, ``rank`` 1 being the newest.
 
     A minute view has one row per sensor and minute, so no sensor is hot and no salt needed.
+    With ``since``, a column bound, older rows are read only for sensors that need them;
+    ``known`` is a frame of all sensors, taken from the view if not given.
     """
     order = order or [ts]
-    columns = dict.fromkeys(["sensor_id", ts, value, *order])
-    return latest_n(minutes.select(*columns), n, order=order, salts=salts)
+    columns = dict.fromkeys(["sensor_id", ts, value, *order, *time_partitions(minutes)])
+    rows = minutes.select(*columns)
+    if since is None:
+        return latest_n(rows, n, order=order, salts=1)
+    known = sensors(rows) if known is None else known
+    return latest_n_since(rows, n, since, known, order=order, salts=1)
 
 
 def forecast_features(minutes, ts="start_time", value="avg_global_active_power",
-                      n=FORECAST_INPUT, min_points=None, order=None):
+                      n=FORECAST_INPUT, min_points=None, order=None, since=None, known=None):
     """One vector of 32-bit floats per sensor, oldest value first.
 
-    Sensors with fewer than ``min_points`` rows (``n`` if not given) are left out.
+    Sensors with fewer than ``min_points`` rows (``n`` if not given) are left out. For
+    ``since`` and ``known`` see ``recent_load``.
     """
-    recent = recent_load(minutes, ts, value, n, order)
+    recent = recent_load(minutes, ts, value, n, order, since, known)
     # At most n entries per sensor are collected.
     ordered = F.sort_array(F.collect_list(F.struct((-F.col("rank")).alias("place"), value)))
     return (
@@ -41,16 +49,17 @@ def forecast_features(minutes, ts="start_time", value="avg_global_active_power",
 
 
 def forecast_trend(minutes, ts="start_time", value="avg_global_active_power",
-                   n=FORECAST_INPUT, min_points=None, order=None, prediction_time=None):
+                   n=FORECAST_INPUT, min_points=None, order=None, prediction_time=None,
+                   since=None, known=None):
     """The built-in model: a least-squares line through the newest values, carried on.
 
     The newest value sits at place -1, so step ``h`` is the line at ``h - 1``. With too few
     points for a slope the line is flat. ``prediction_time`` is a column, by default the time
-    of the newest value.
+    of the newest value. For ``since`` and ``known`` see ``recent_load``.
     """
     place, load = -F.col("rank"), F.col(value)
     fitted = (
-        recent_load(minutes, ts, value, n, order)
+        recent_load(minutes, ts, value, n, order, since, known)
         .groupBy("sensor_id")
         .agg(
             F.max(ts).alias("last_time"),

@@ -29,32 +29,36 @@ def range_of(start, end=None, minutes=None):
     return start, end
 
 
+def time_partitions(table):
+    """The columns that hold the time of a table's partitions: ``date``, the calendar, or none."""
+    if "date" in table.columns and isinstance(table.schema["date"].dataType, DateType):
+        return ["date"]
+    return list(CALENDAR) if all(part in table.columns for part in CALENDAR) else []
+
+
 def between(table, low=None, high=None, ts="timestamp"):
     """Rows with ``low <= ts < high`` for column bounds, either of which may be left out.
 
     A table partitioned by ``date``, or by the calendar columns, is also filtered on those,
     because Spark does not derive a partition filter from a timestamp filter.
     """
-    rows = table
-    if low is not None:
-        rows = rows.filter(F.col(ts) >= low)
-    if high is not None:
-        rows = rows.filter(F.col(ts) < high)
-    if "date" in table.columns and isinstance(table.schema["date"].dataType, DateType):
+    parts = time_partitions(table)
+    if parts == ["date"]:
         part, of = F.col("date"), F.to_date
-    elif all(name in table.columns for name in CALENDAR):
-        part = F.concat(
-            *[F.lpad(F.col(p).cast("string"), WIDTH.get(p, 2), "0") for p in CALENDAR]
-        )
+    else:
+        texts = [F.lpad(F.col(p).cast("string"), WIDTH.get(p, 2), "0") for p in parts]
+        part = F.concat(*texts) if texts else None
 
         def of(bound):
             return F.date_format(bound, "".join(CALENDAR.values()))
-    else:
-        return rows
+
+    rows = table
     if low is not None:
-        rows = rows.filter(part >= of(low))
+        rows = rows.filter(F.col(ts) >= low)
+        rows = rows if part is None else rows.filter(part >= of(low))
     if high is not None:
-        rows = rows.filter(part <= of(high))
+        rows = rows.filter(F.col(ts) < high)
+        rows = rows if part is None else rows.filter(part <= of(high))
     return rows
 
 

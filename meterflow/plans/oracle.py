@@ -148,6 +148,7 @@ ORACLE = {
           (30 - rank)::INT AS place, round(load::FLOAT::DOUBLE, 6) AS "value"
         FROM recent QUALIFY count(*) OVER (PARTITION BY sensor_id) >= 30""",
     "forecast_trend": _trend("load"),
+    "forecast_stored": _trend("load"),
     "forecast_score": _trend("load::FLOAT::DOUBLE"),
     "merged_view": f"{WITH} {_speed()}",
 }

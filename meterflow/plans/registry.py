@@ -271,6 +271,18 @@ def forecast_trend(spark, sf_dir):
     )
 
 
+def forecast_stored(spark, sf_dir):
+    """The forecast on a stored minute view: two weeks of folders, and older ones only for
+    sensors that lack rows, appended to a table of predictions."""
+    path, target = work_folder(spark, "minutes"), work_folder(spark, "predictions")
+    tables.write_by_date(forecast_input(spark, sf_dir), path, "start_time")
+    view = spark.read.parquet(path)
+    since = view.agg(F.max("start_time")).scalar() - F.expr("INTERVAL 14 DAYS")
+    predictions = forecast.forecast_trend(view, since=since)
+    tables.append_to(predictions, "parquet", {"path": target})
+    return rounded(spark.read.parquet(target), forecast.PREDICTIONS, 6)
+
+
 def forecast_score(spark, sf_dir):
     """The scorer with a user model: the least-squares line, for whole batches of vectors."""
     def load_model():
@@ -335,6 +347,7 @@ QUERIES = {
     "latest_n_since": latest_n_since,
     "forecast_features": forecast_features,
     "forecast_trend": forecast_trend,
+    "forecast_stored": forecast_stored,
     "forecast_score": forecast_score,
     "merged_view": merged,
 }

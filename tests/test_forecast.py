@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from meterflow.operators.forecast import (
     PREDICTIONS, forecast_features, forecast_score, forecast_trend,
 )
+from meterflow.sources import tables
 
 
 @pytest.fixture
@@ -73,3 +74,20 @@ def test_scorer_calls_the_model_on_batches(loads):
 def test_features_group_on_the_partitioning_of_the_window(loads, plan):
     text = plan(forecast_features(loads({1: range(40)})))
     assert text.count("Exchange") == 1
+
+
+def test_since_prunes_folders_and_changes_no_forecast(spark, tmp_path, plan):
+    path = str(tmp_path / "view")
+    view = spark.range(400).selectExpr(
+        "cast(id % 2 + 1 as int) as sensor_id", "cast(id % 7 as double) as avg_global_active_power",
+        "timestamp_seconds(1700000040 + id * 1800) as start_time")
+    # A third sensor fell silent early and has its last values in the older folders.
+    silent = view.limit(40).withColumn("sensor_id", F.lit(3))
+    tables.write_by_date(view.unionByName(silent), path, "start_time")
+    stored = spark.read.parquet(path)
+    since = F.lit("2023-11-20 00:00:00").cast("timestamp")
+    pruned = forecast_trend(stored, since=since)
+    assert "PartitionFilters: [isnotnull(date" in plan(pruned)
+    whole = forecast_trend(stored)
+    assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, whole.collect()))
+    assert whole.count() == 3

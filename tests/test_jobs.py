@@ -43,7 +43,8 @@ def test_streams_then_reports_and_forecast(spark, tmp_path):
         f"path={tmp_path / 'p'}")
     run(spark, "publish", "--root", root, "--out", tmp_path / "sensors", "--by-sensor")
     run(spark, "forecast", "--path", tmp_path / "sensors", "--out", tmp_path / "q",
-        "--time", "start_time", "--value", "avg_global_active_power")
+        "--time", "start_time", "--value", "avg_global_active_power",
+        "--since", "2023-11-14 22:20:00")
     row = spark.read.parquet(str(tmp_path / "p")).first()
     assert spark.read.parquet(str(tmp_path / "q")).first().prediction6 == row.prediction6
     assert row.sensor_id == 1 and row.prediction6 == pytest.approx(4.0, abs=0.1)
