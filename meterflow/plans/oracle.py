@@ -1,7 +1,7 @@
 """SQL over the given tables that each registered query must agree with."""
 
 from meterflow.operators.forecast import PREDICTIONS
-from meterflow.plans.registry import END, HORIZON, START
+from meterflow.plans.registry import END, START
 from meterflow.schema import BATCH_VIEW, BOUNDS, CALENDAR, MEASURES, SPEED_VIEW
 
 READINGS = """readings AS (
@@ -36,9 +36,15 @@ def _speed(unit="minute", rows="readings"):
     GROUP BY sensor_id, start_time"""
 
 
-BATCH = f"""SELECT minute_start AS "timestamp", {_aggregates(BATCH_VIEW)}
-  FROM (SELECT *, date_trunc('minute', "timestamp")::TIMESTAMP AS minute_start FROM readings)
-  GROUP BY minute_start"""
+def _batch(unit="minute"):
+    return f"""SELECT unit_start AS "timestamp", {_aggregates(BATCH_VIEW)}
+    FROM (SELECT *, date_trunc('{unit}', "timestamp")::TIMESTAMP AS unit_start FROM readings)
+    GROUP BY unit_start"""
+
+
+CALENDAR_PARTS = ", ".join(
+    f"strftime(\"timestamp\", '{STRFTIME[fmt]}') AS \"{name}\"" for name, fmt in CALENDAR.items()
+)
 
 MILLISECONDS = f"""SELECT event_id, sensor_id, "time",
     date_trunc('millisecond', "timestamp")::TIMESTAMP AS "timestamp", {ALL} FROM readings"""
@@ -97,21 +103,19 @@ ORACLE = {
         0::BIGINT AS bad_timestamp, count(*) - count(voltage) AS missing_value
         FROM ({HISTORY})""",
     "calendar_parts": f"""{WITH} SELECT event_id,
-        date_trunc('minute', "timestamp")::TIMESTAMP AS minute_start, """
-        + ", ".join(f"strftime(\"timestamp\", '{STRFTIME[f]}') AS \"{name}\""
-                    for name, f in CALENDAR.items())
-        + " FROM readings",
+        date_trunc('minute', "timestamp")::TIMESTAMP AS minute_start, {CALENDAR_PARTS}
+        FROM readings""",
     "clamp_readings": f"{WITH} SELECT event_id, "
         + ", ".join(f"least(greatest({m}, {lo}::DOUBLE), {hi}::DOUBLE) AS {m}"
                     for m, (lo, hi) in BOUNDS.items())
         + " FROM readings",
     "speed_minute": f"{WITH} {_speed()}",
     "speed_day": f"{WITH} {_speed('day')}",
-    "batch_minute": f"{WITH} {BATCH}",
+    "batch_minute": f"{WITH} {_batch()}",
     "partials_minute": f"{WITH} {_speed()}",
     "stream_speed_minute": f"""{WITH} SELECT * FROM ({_speed()}) WHERE end_time <=
         (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 MINUTE""",
-    "stream_batch_minute": f"{WITH} {BATCH}",
+    "stream_batch_minute": f"{WITH} {_batch()}",
     "folded_batch_minute": f"{WITH} {_speed()}",
     "stream_drop_repeats": f"{WITH} {MILLISECONDS}",
     "stream_raw_readings": f"{WITH} {MILLISECONDS}",
@@ -140,6 +144,8 @@ ORACLE = {
           round(p / nullif(sqrt(p * p + q * q), 0), 9) AS power_factor
         FROM batch WHERE {RANGE.replace('"timestamp"', 'minute_start')}
         ORDER BY minute_start""",
+    "calendar_layout": f"""{WITH} SELECT *, {CALENDAR_PARTS} FROM ({_batch('day')})
+        WHERE {RANGE}""",
     "pruned_range": f"{WITH} SELECT * FROM readings WHERE {RANGE}",
     "latest_n": LATEST,
     "latest_n_since": LATEST,

@@ -230,6 +230,16 @@ def batch_power_factor(spark, sf_dir):
     return rounded(report, report.columns[1:], 9)
 
 
+def calendar_layout(spark, sf_dir):
+    """Daily rows of the batch view by way of year/month/day/hour/minute folders."""
+    view = minutes.batch_minutes(source.readings(spark, sf_dir), size="1 day")
+    path = work_folder(spark, "calendar")
+    tables.write_by_minute(view, path)
+    columns = ", ".join(f"{name} {kind}" for name, kind in view.dtypes)
+    stored = tables.read_by_minute(spark, path, columns)
+    return rounded(time_range(stored, *range_of(START, END)), AVERAGES, 9)
+
+
 def pruned_range(spark, sf_dir):
     path = work_folder(spark, "dated")
     tables.write_by_date(source.readings(spark, sf_dir), path)
@@ -342,6 +352,7 @@ QUERIES = {
     "power_factor": power_factor,
     "high_power": high_power,
     "batch_power_factor": batch_power_factor,
+    "calendar_layout": calendar_layout,
     "pruned_range": pruned_range,
     "latest_n": latest_n,
     "latest_n_since": latest_n_since,

@@ -11,7 +11,8 @@ from meterflow.functions.columns import (
 
 def values(spark, kind, rows, expression):
     frame = spark.createDataFrame([(i, r) for i, r in enumerate(rows)], f"i int, x {kind}")
-    return [r.y for r in frame.select("i", expression(F.col("x")).alias("y")).orderBy("i").collect()]
+    got = frame.select("i", expression(F.col("x")).alias("y")).orderBy("i")
+    return [r.y for r in got.collect()]
 
 
 def test_clamp_keeps_bounds_null_and_nan(spark):
