@@ -1,6 +1,8 @@
 """The operators over whole tables, and SQL for those that SQL can express."""
 
-from meterflow.llm import exact_dedup, mixing
+import public_tokenizers
+
+from meterflow.llm import bpe, exact_dedup, mixing, simhash
 
 
 def table(spark, sf_dir, name):
@@ -20,9 +22,21 @@ def exact(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+def near(spark, sf_dir):
+    return simhash.near_groups(documents(spark, sf_dir))
+
+
+def encoded(spark, sf_dir):
+    return bpe.encode_digests(
+        documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
 QUERIES = {
     "op1_mix_sources": mix_sources,
+    "op2_simhash": near,
     "op4_exact_dedup": exact,
+    "op9_bpe": encoded,
 }
 
 LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
