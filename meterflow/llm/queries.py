@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from meterflow.llm import bpe, exact_dedup, mixing, simhash
+from meterflow.llm import bpe, exact_dedup, mixing, simhash, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -32,11 +32,16 @@ def encoded(spark, sf_dir):
     )
 
 
+def toxic(spark, sf_dir):
+    return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_mix_sources": mix_sources,
     "op2_simhash": near,
     "op4_exact_dedup": exact,
     "op9_bpe": encoded,
+    "op10_toxicity": toxic,
 }
 
 LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
