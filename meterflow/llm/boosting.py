@@ -6,7 +6,7 @@ import numpy as np
 class Trees:
     """Logistic boosting of shallow trees over binned columns."""
 
-    def __init__(self, rounds=80, depth=3, rate=0.15, bins=32, least=2.0, ridge=1.0):
+    def __init__(self, rounds=80, depth=3, rate=0.15, bins=32, least=0.5, ridge=1.0):
         self.rounds, self.depth, self.rate = rounds, depth, rate
         self.bins, self.least, self.ridge = bins, least, ridge
         self.base, self.edges, self.trees = 0.0, [], []
