@@ -64,7 +64,8 @@ def equal_groups(rows, first_run=FIRST_RUN):
     while True:
         part = rows.filter(F.col("length") > start) if start else rows
         part = part.select("number", "length", F.substring(body, start + 1, run).alias("run"))
-        part = part.join(open_rows, "number")
+        # The open rows grow with the table, so neither side is ever broadcast.
+        part = part.join(open_rows.hint("merge"), "number")
         part = written(part.withColumn("run", lower_bytes("run")), "dedup-runs")
         same = part.groupBy("group", "run").agg(
             F.min("number").alias("first"), F.count("*").alias("n")
