@@ -2,7 +2,7 @@
 
 import public_tokenizers
 
-from meterflow.llm import bpe, exact_dedup, mixing, simhash, toxicity
+from meterflow.llm import bpe, exact_dedup, merkle, mixing, simhash, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -26,6 +26,10 @@ def near(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def fingerprints(spark, sf_dir):
+    return merkle.edited_fingerprints(documents(spark, sf_dir))
+
+
 def encoded(spark, sf_dir):
     return bpe.encode_digests(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
@@ -40,6 +44,7 @@ QUERIES = {
     "op1_mix_sources": mix_sources,
     "op2_simhash": near,
     "op4_exact_dedup": exact,
+    "op6_merkle": fingerprints,
     "op9_bpe": encoded,
     "op10_toxicity": toxic,
 }
@@ -47,6 +52,38 @@ QUERIES = {
 LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz')"""
 
+RUN = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}"
+
+
+def _runs(text):
+    return f"list_distinct(regexp_extract_all({text}, '{RUN}'))"
+
+
+def _roots(texts, text):
+    """doc_id, paragraphs, sections and root of each text."""
+    return f"""
+      SELECT doc_id, flatten(list(nodes ORDER BY part)) AS paragraphs,
+        list(section ORDER BY part) AS sections,
+        sha256(string_agg(section, ' ' ORDER BY part)) AS root
+      FROM (
+        SELECT doc_id, part, list(node ORDER BY place) AS nodes,
+          sha256(string_agg(node, ' ' ORDER BY place)) AS section
+        FROM (
+          SELECT *, coalesce(sum((node[1] IN ('0', '1'))::INT) OVER (PARTITION BY doc_id
+            ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+          FROM (
+            SELECT doc_id, unnest(lines) AS node, generate_subscripts(lines, 1) AS place
+            FROM (SELECT doc_id, list_transform(string_split({text}, chr(10)),
+                    lambda line: sha256(line)) AS lines FROM {texts})))
+        GROUP BY doc_id, part)
+      GROUP BY doc_id"""
+
+
+def _likeness(a, b):
+    return f"""CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE
+      ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"""
+
+
 ORACLE = {
     "op1_mix_sources": r"""
       WITH sizes AS (
@@ -86,6 +123,32 @@ ORACLE = {
       SELECT doc_id, size, source_size, target,
         (size * (floor(rate) + (u < rate - floor(rate))::INT))::BIGINT AS taken
       FROM drawn""",
+    "op6_merkle": f"""
+      WITH plain AS (
+        SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n,
+          length(coalesce(text, '')) // 2 AS half
+        FROM documents),
+      following AS (
+        SELECT *, coalesce(lead(text) OVER by_id, first(text) OVER by_id) AS following
+        FROM plain WINDOW by_id AS (ORDER BY doc_id DESC
+          ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+      edits AS (
+        SELECT *, left(text, n - half) || left(following, half) AS edited FROM following),
+      own AS ({_roots('edits', 'text')}),
+      other AS ({_roots('edits', 'edited')}),
+      runs AS (
+        SELECT *, {_runs('text')} AS a, {_runs('edited')} AS b, {_runs('following')} AS c
+        FROM edits)
+      SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
+        own.root AS fingerprint, other.root AS edited_fingerprint,
+        {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next,
+        coalesce(list_position(list_transform(
+          range(1, greatest(len(own.paragraphs), len(other.paragraphs)) + 1),
+          lambda i: own.paragraphs[i] IS DISTINCT FROM other.paragraphs[i]), true), 0)::BIGINT
+          AS first_change,
+        len(list_filter(list_distinct(own.sections),
+          lambda s: NOT list_contains(other.sections, s)))::INT AS changed_sections
+      FROM runs JOIN own USING (doc_id) JOIN other USING (doc_id)""",
     "op4_exact_dedup": f"""
       WITH plain AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents),
       grouped AS (
