@@ -2,7 +2,16 @@
 
 import public_tokenizers
 
-from meterflow.llm import bpe, exact_dedup, merkle, mixing, simhash, toxicity
+from meterflow.llm import (
+    bpe,
+    exact_dedup,
+    html_extract,
+    merkle,
+    mixing,
+    secrets_scan,
+    simhash,
+    toxicity,
+)
 
 
 def table(spark, sf_dir, name):
@@ -30,6 +39,14 @@ def fingerprints(spark, sf_dir):
     return merkle.edited_fingerprints(documents(spark, sf_dir))
 
 
+def secrets(spark, sf_dir):
+    return secrets_scan.scan_documents(documents(spark, sf_dir))
+
+
+def pages(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def encoded(spark, sf_dir):
     return bpe.encode_digests(
         documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json")
@@ -45,6 +62,8 @@ QUERIES = {
     "op2_simhash": near,
     "op4_exact_dedup": exact,
     "op6_merkle": fingerprints,
+    "op7_secrets": secrets,
+    "op8_html": pages,
     "op9_bpe": encoded,
     "op10_toxicity": toxic,
 }
