@@ -16,11 +16,12 @@ have any name.
 """
 
 from functools import reduce
+from string import ascii_lowercase, ascii_uppercase
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import StringType
 
 from meterflow.llm.common import small_batches
 from meterflow.session import written
@@ -29,10 +30,10 @@ FIRST_RUN = 32
 GROWTH = 8
 
 
-@F.pandas_udf(BinaryType())
-def lower_bytes(runs: pd.Series) -> pd.Series:
-    """A to Z in lower case; no other byte of UTF-8 is one of these letters."""
-    return runs.map(bytes.lower)
+def lower_bytes(run):
+    """A to Z in lower case, each byte of the run as the Latin-1 character of that number: no
+    other byte of UTF-8 is one of these letters, and different bytes stay different."""
+    return F.translate(F.decode(run, "ISO-8859-1"), ascii_uppercase, ascii_lowercase)
 
 
 @F.pandas_udf(StringType())
@@ -66,7 +67,7 @@ def equal_groups(rows, first_run=FIRST_RUN):
         part = part.select("number", "length", F.substring(body, start + 1, run).alias("run"))
         # The open rows grow with the table, so neither side is ever broadcast.
         part = part.join(open_rows.hint("merge"), "number")
-        part = written(part.withColumn("run", lower_bytes("run")), "dedup-runs")
+        part = written(part.withColumn("run", lower_bytes(F.col("run"))), "dedup-runs")
         same = part.groupBy("group", "run").agg(
             F.min("number").alias("first"), F.count("*").alias("n")
         ).filter("n > 1")
