@@ -26,6 +26,7 @@ import uuid
 from collections import Counter
 from functools import lru_cache
 from hashlib import sha256
+from unicodedata import normalize
 
 import pandas as pd
 from pyspark import SparkFiles
@@ -37,9 +38,16 @@ from meterflow.session import written
 
 # Words in the lexicon at most; it goes to every executor.
 LEXICON_WORDS = 200_000
-# Entries a worker keeps: encoded words, and words counted before they are handed on.
-KEPT_WORDS = 200_000
+# Pieces a worker keeps: encoded ones, and counted ones before they go on.
+KEPT_PIECES = 400_000
+# Symbols of a word beyond which it is merged with a heap and its ids are not kept.
+LONG = 200
 END = "</w>"
+ID_BITS = 24
+ID_MASK = (1 << ID_BITS) - 1
+NEVER = 1 << 62
+# White space to Python, but not to the tokenizer's pattern.
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 
 
 def byte_symbols():
@@ -63,14 +71,18 @@ class Tokenizer:
             content = json.load(file)
         vocabulary = content["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in content["added_tokens"]}
-        self.tokens = {i: token for token, i in [*vocabulary.items(), *self.special.items()]}
+        ids = {**vocabulary, **self.special}
+        self.tokens = [""] * (max(ids.values()) + 1)
+        for token, i in ids.items():
+            self.tokens[i] = token
         symbols = byte_symbols()
         self.inner = [vocabulary[s] for s in symbols]
         self.final = [vocabulary[s + END] for s in symbols]
+        # Pair of ids to the rank of its merge and the id it becomes, in one number.
         self.merges = {}
         for rank, pair in enumerate(content["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[vocabulary[a], vocabulary[b]] = (rank, vocabulary[a + b])
+            self.merges[vocabulary[a], vocabulary[b]] = rank << ID_BITS | vocabulary[a + b]
         # The file's pattern; its \s is the White_Space property, which Python's is not quite.
         split = content["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words_of = regex.compile(split.replace(r"\s", r"\p{White_Space}")).findall
@@ -80,33 +92,59 @@ class Tokenizer:
 
     def words(self, text):
         """The words of a text without special tokens."""
-        from unicodedata import normalize
-
-        # Letter by letter, as the library does: no final form of sigma.
-        return self.words_of(normalize("NFC", text).replace("Σ", "σ").lower())
+        if not text.isascii():
+            # Letter by letter, as the library does: no final form of sigma.
+            text = normalize("NFC", text).replace("Σ", "σ")
+        text = text.lower()
+        return [text] if text.isalpha() else self.words_of(text)
 
     def pieces(self, text):
-        """(words, following special token or None) for each stretch of a text."""
-        if "<|" not in text:
-            yield self.words(text), None
-            return
-        parts = self.specials_of(text)
-        for i in range(0, len(parts), 2):
-            yield self.words(parts[i]), parts[i + 1] if i + 1 < len(parts) else None
+        """Stretches of a text that hold whole words, and special tokens as they are.
+
+        No word, no composition and no change of case reaches over white space, so a text is
+        cut there, where Python's idea of white space is the pattern's.
+        """
+        parts = self.specials_of(text) if "<|" in text else [text]
+        found = []
+        for i, part in enumerate(parts):
+            if i % 2:
+                found.append(part)
+            else:
+                found += [part] if any(c in part for c in SEPARATORS) else part.split()
+        return found
 
     def merge(self, word):
         """Ids of a word: the adjacent pair of lowest rank, leftmost first, becomes one."""
         data = word.encode()
         ids = [self.inner[byte] for byte in data]
         ids[-1] = self.final[data[-1]]
+        if len(ids) > LONG:
+            return self._merge_long(ids)
+        get = self.merges.get
+        ranks = [get(pair, NEVER) for pair in zip(ids, ids[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == NEVER:
+                break
+            i = ranks.index(best)
+            ids[i:i + 2] = [best & ID_MASK]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = get((ids[i - 1], ids[i]), NEVER)
+            if i < len(ranks):
+                ranks[i] = get((ids[i], ids[i + 1]), NEVER)
+        return ids
+
+    def _merge_long(self, ids):
+        """The same with a heap, in time that grows little faster than the word."""
         end = len(ids)
         after, before = list(range(1, end + 1)), list(range(-1, end - 1))
         heap = []
 
         def push(i):
             j = after[i]
-            if j < end and (found := self.merges.get((ids[i], ids[j]))):
-                heapq.heappush(heap, (found[0], i, ids[i], ids[j], found[1]))
+            if j < end and (found := self.merges.get((ids[i], ids[j]))) is not None:
+                heapq.heappush(heap, (found >> ID_BITS, i, ids[i], ids[j], found & ID_MASK))
 
         for i in range(end - 1):
             push(i)
@@ -126,36 +164,47 @@ class Tokenizer:
 
     def text(self, ids):
         """Decoded text, special tokens included."""
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 class Encoder(dict):
-    """Words to (ids as bytes, decoded text), looked up or merged once and kept for a while."""
+    """Pieces of text to their ids as bytes; a piece is looked up or merged once and kept for a
+    while, as a piece and as the words in it."""
 
-    def __init__(self, tokenizer, lexicon, kept=KEPT_WORDS):
+    def __init__(self, tokenizer, lexicon, kept=KEPT_PIECES):
         super().__init__()
         self.tokenizer, self.lexicon, self.kept = tokenizer, lexicon, kept
+        self.known = {}
 
-    def entry(self, ids):
-        return struct.pack(f"<{len(ids)}I", *ids), self.tokenizer.text(ids)
-
-    def __missing__(self, word):
-        if len(self) >= self.kept:
-            self.clear()
-        ids = self.lexicon.get(word.encode()) if self.lexicon else None
+    def _ids(self, word):
+        ids = self.known.get(word)
         if ids is None:
-            ids = self.tokenizer.merge(word)
-        entry = self[word] = self.entry(ids)
-        return entry
+            if len(self.known) >= self.kept // 2:
+                self.known.clear()
+            numbers = self.lexicon.get(word.encode()) if self.lexicon else None
+            if numbers is None:
+                numbers = self.tokenizer.merge(word)
+            self.known[word] = ids = struct.pack(f"<{len(numbers)}I", *numbers)
+        return ids
+
+    def __missing__(self, piece):
+        if piece in self.tokenizer.special:
+            ids = struct.pack("<I", self.tokenizer.special[piece])
+        else:
+            ids = b"".join([self._ids(word) for word in self.tokenizer.words(piece)])
+        if len(piece) <= LONG:
+            if len(self) >= self.kept:
+                self.clear()
+            self[piece] = ids
+        return ids
 
     def encode(self, text):
-        """(ids as bytes, decoded text) of a text."""
-        entries = []
-        for words, special in self.tokenizer.pieces(text or ""):
-            entries += [self[word] for word in words]
-            if special is not None:
-                entries.append(self.entry([self.tokenizer.special[special]]))
-        return b"".join([e[0] for e in entries]), " ".join([e[1] for e in entries])
+        """The ids of a text, as bytes."""
+        return b"".join([self[piece] for piece in self.tokenizer.pieces(text or "")])
+
+    def decode(self, ids):
+        """The text of ids as bytes."""
+        return self.tokenizer.text(memoryview(ids).cast("I"))
 
 
 @lru_cache(maxsize=2)
@@ -178,24 +227,26 @@ def ship(spark, path):
     return name
 
 
-def word_counts(docs, name, kept=KEPT_WORDS):
+def word_counts(docs, name, kept=KEPT_PIECES):
     """How often each word occurs in all texts: ``word``, ``n``."""
     def count(batches):
-        tokenizer, counter = _tokenizer(name), Counter()
+        tokenizer, pieces = _tokenizer(name), Counter()
 
         def rows():
-            frame = pd.DataFrame({"word": list(counter), "n": list(counter.values())})
-            counter.clear()
-            return frame
+            counts = Counter()
+            for piece, n in pieces.items():
+                if piece not in tokenizer.special:
+                    for word in tokenizer.words(piece):
+                        counts[word] += n
+            pieces.clear()
+            return pd.DataFrame({"word": list(counts), "n": list(counts.values())})
 
         for batch in batches:
             for text in batch["text"]:
-                for words, _ in tokenizer.pieces(text or ""):
-                    counter.update(words)
-                if len(counter) > kept:
+                pieces.update(tokenizer.pieces(text or ""))
+                if len(pieces) > kept:
                     yield rows()
-        if counter:
-            yield rows()
+        yield rows()
 
     small_batches(docs.sparkSession)
     counted = docs.select("text").mapInPandas(count, "word string, n long")
@@ -231,15 +282,16 @@ def build_lexicon(docs, tokenizer_path, most=LEXICON_WORDS):
 
 
 def encode(docs, tokenizer_path, most=LEXICON_WORDS):
-    """``docs`` with an added last column ``encoded``: a struct of ``ids`` (array of int),
-    ``decoded`` and their digests; columns that are not used are not made."""
+    """``docs`` with an added last column ``encoded``: a struct of ``ids``, little-endian 32-bit
+    numbers, and the ``decoded`` text."""
     name, lexicon = build_lexicon(docs, tokenizer_path, most)
     small_batches(docs.sparkSession)
 
     @F.pandas_udf("ids binary, decoded string")
     def both(texts: pd.Series) -> pd.DataFrame:
         encoder = _encoder(name, lexicon)
-        return pd.DataFrame([encoder.encode(text) for text in texts], columns=["ids", "decoded"])
+        ids = [encoder.encode(text) for text in texts]
+        return pd.DataFrame({"ids": ids, "decoded": [encoder.decode(i) for i in ids]})
 
     return docs.withColumn("encoded", both("text"))
 
@@ -254,9 +306,9 @@ def encode_digests(docs, tokenizer_path, most=LEXICON_WORDS):
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                ids, decoded = encoder.encode(text)
+                ids = encoder.encode(text)
                 rows.append((len(ids) // 4, sha256(ids).hexdigest(),
-                             sha256(decoded.encode()).hexdigest()))
+                             sha256(encoder.decode(ids).encode()).hexdigest()))
             made = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
             yield pd.concat([batch[["doc_id"]], made], axis=1)
 

@@ -14,6 +14,8 @@ import struct
 
 import numpy as np
 
+SINGLE = [bytes([byte]) for byte in range(256)]
+
 
 def compile_words(outputs, path):
     """Write the transducer of ``{word bytes: sequence of numbers}``."""
@@ -90,15 +92,15 @@ class Transducer:
 
     def get(self, word):
         """The numbers of a word, or None if it is not among the compiled ones."""
-        file, starts, labels = self.file, self.starts, self.labels
-        state, place = self.root, 0
-        for i in range(len(word)):
-            first = starts[state]
-            found = file.find(word[i:i + 1], labels + first, labels + starts[state + 1])
+        find, starts, labels = self.file.find, self.starts, self.labels
+        targets, skips, state, place = self.targets, self.skips, self.root, 0
+        for label in word:
+            found = find(SINGLE[label], labels + starts[state], labels + starts[state + 1])
             if found < 0:
                 return None
-            place += self.skips[found - labels]
-            state = self.targets[found - labels]
-        if not file[self.ends + state]:
+            found -= labels
+            place += skips[found]
+            state = targets[found]
+        if not self.file[self.ends + state]:
             return None
         return self.outputs[self.output_starts[place]:self.output_starts[place + 1]].tolist()
