@@ -15,14 +15,11 @@ a heap, in time that grows little faster than their length. Repeated rows each g
 other columns may have any name. An empty table gives no rows and an empty lexicon.
 """
 
-import atexit
 import heapq
 import json
 import os
-import shutil
 import struct
 import tempfile
-import uuid
 from collections import Counter
 from functools import lru_cache
 from hashlib import sha256
@@ -32,7 +29,7 @@ import pandas as pd
 from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
-from meterflow.llm.common import small_batches
+from meterflow.llm.common import frequent, ship, small_batches
 from meterflow.llm.transducer import Transducer, compile_words
 from meterflow.session import written
 
@@ -217,16 +214,6 @@ def _encoder(name, lexicon):
     return Encoder(_tokenizer(name), Transducer(SparkFiles.get(lexicon)))
 
 
-def ship(spark, path):
-    """Give a file of the driver to every executor; returns its name there. The driver serves a
-    copy for as long as it runs, so executors that come later get it too."""
-    name = f"{uuid.uuid4().hex}-{os.path.basename(path)}"
-    folder = tempfile.mkdtemp(prefix="meterflow-files-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    spark.sparkContext.addFile(shutil.copyfile(path, os.path.join(folder, name)))
-    return name
-
-
 def word_counts(docs, name, kept=KEPT_PIECES):
     """How often each word occurs in all texts: ``word``, ``n``."""
     def count(batches):
@@ -253,27 +240,12 @@ def word_counts(docs, name, kept=KEPT_PIECES):
     return written(counted.groupBy("word").agg(F.sum("n").alias("n")), "bpe-words")
 
 
-def frequent_words(counts, most=LEXICON_WORDS):
-    """The words above the least count that at most ``most`` words reach; the counts are first
-    summed up in steps of an eighth of a power of two, a few hundred rows at any size."""
-    step = F.floor(F.log2("n") * 8).cast("int")
-    steps = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
-    total, least = 0, None
-    for row in steps:
-        total += row["count"]
-        if total > most:
-            break
-        least = row["step"]
-    if least is None:
-        return []
-    return [row.word for row in counts.filter(step >= least).select("word").collect()]
-
-
 def build_lexicon(docs, tokenizer_path, most=LEXICON_WORDS):
     """Names, on the executors, of the tokenizer file and of the compiled lexicon."""
     spark = docs.sparkSession
     name = ship(spark, tokenizer_path)
-    words = frequent_words(word_counts(docs, name), most)
+    rows = frequent(word_counts(docs, name), most)
+    words = [row.word for row in rows.select("word").collect()] if rows is not None else []
     tokenizer = Tokenizer(tokenizer_path)
     with tempfile.TemporaryDirectory() as folder:
         path = os.path.join(folder, "lexicon")

@@ -1,5 +1,11 @@
 """Helpers of several operators: plain words, dense ranks, batch sizes."""
 
+import atexit
+import os
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -43,3 +49,36 @@ def ranked(rows, *order):
     return placed.join(starts, "part").withColumn("rank", F.col("start") + inside).drop(
         "part", "place", "start"
     )
+
+
+def frequent(counts, most):
+    """The rows of ``counts`` (word, n) above the least count that at most ``most`` words reach.
+
+    The counts are first summed up in steps of an eighth of a power of two, a few hundred rows at
+    any size; None if no step has so few words.
+    """
+    step = F.floor(F.log2("n") * 8).cast("int")
+    steps = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
+    total, least = 0, None
+    for row in steps:
+        total += row["count"]
+        if total > most:
+            break
+        least = row["step"]
+    return None if least is None else counts.filter(step >= least)
+
+
+def ship(spark, path):
+    """Give a file of the driver to every executor; returns its name there. The driver serves a
+    copy for as long as it runs, so executors that come later get it too."""
+    name = f"{uuid.uuid4().hex}-{os.path.basename(path)}"
+    folder = tempfile.mkdtemp(prefix="meterflow-files-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.addFile(shutil.copyfile(path, os.path.join(folder, name)))
+    return name
+
+
+def held_out(doc_id, folds):
+    """Whether the crc32 of the id as text is 0 modulo ``folds``; so is a null id."""
+    remainder = F.crc32(doc_id.cast("string").cast("binary")) % folds
+    return F.coalesce(remainder == 0, F.lit(True))

@@ -6,6 +6,7 @@ from meterflow.llm import (
     bpe,
     exact_dedup,
     html_extract,
+    lm_score,
     merkle,
     mixing,
     secrets_scan,
@@ -35,6 +36,13 @@ def near(spark, sf_dir):
     return simhash.near_groups(documents(spark, sf_dir))
 
 
+def scored(spark, sf_dir):
+    return lm_score.score_documents(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+    )
+
+
 def fingerprints(spark, sf_dir):
     return merkle.edited_fingerprints(documents(spark, sf_dir))
 
@@ -61,6 +69,7 @@ QUERIES = {
     "op1_mix_sources": mix_sources,
     "op2_simhash": near,
     "op4_exact_dedup": exact,
+    "op5_lm_score": scored,
     "op6_merkle": fingerprints,
     "op7_secrets": secrets,
     "op8_html": pages,

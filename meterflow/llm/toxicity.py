@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
 from meterflow.llm.boosting import Isotonic, Trees
-from meterflow.llm.common import small_batches
+from meterflow.llm.common import held_out, small_batches
 from meterflow.session import written
 
 SAMPLE = 24_000
@@ -125,12 +125,6 @@ def features(text, lexicon):
     ]
 
 
-def held_out(doc_id, folds):
-    """Whether the id's crc32 is 0 modulo ``folds``; a null id counts as held out."""
-    remainder = F.crc32(doc_id.cast("string").cast("binary")) % folds
-    return F.coalesce(remainder == 0, F.lit(True))
-
-
 def _chosen(labels, sample):
     """Ids, classes and folds of the labelled rows to fit on."""
     rows = labels.filter(
