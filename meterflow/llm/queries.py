@@ -6,6 +6,7 @@ from meterflow.llm import (
     bpe,
     exact_dedup,
     html_extract,
+    license_scan,
     lm_score,
     merkle,
     mixing,
@@ -28,6 +29,10 @@ def mix_sources(spark, sf_dir):
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def licenses(spark, sf_dir):
+    return license_scan.scan_documents(documents(spark, sf_dir))
+
+
 def exact(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
@@ -68,6 +73,7 @@ def toxic(spark, sf_dir):
 QUERIES = {
     "op1_mix_sources": mix_sources,
     "op2_simhash": near,
+    "op3_licenses": licenses,
     "op4_exact_dedup": exact,
     "op5_lm_score": scored,
     "op6_merkle": fingerprints,
