@@ -4,8 +4,8 @@ A template's words are aligned with the words of a text around each place where
 the template occurs. Words that occur once in both are anchors; their longest increasing
 subsequence is kept, and the gaps between two anchors are aligned in the same way, where other
 words may be unique. A gap without such words gives what its ends have in common. Coverage is the
-share of the template's words that are aligned; a match has ``COVERAGE`` of them, and half of the
-text's words from the first to the last aligned one are among them. Of overlapping matches the
+share of the template's words that are aligned; a match has ``COVERAGE`` of them, and three
+quarters of the text's words from the first to the last aligned one are among them. Of overlapping matches the
 one with the higher coverage stays, then the one with more words, then the first name.
 
 Case, punctuation and line breaks do not count; positions are code points, the end exclusive.
@@ -24,7 +24,7 @@ import pandas as pd
 from meterflow.llm.common import small_batches
 
 COVERAGE = 0.8
-DENSITY = 0.5
+DENSITY = 0.75
 
 # Notices as their licenses word them.
 TEMPLATES = [
@@ -173,10 +173,10 @@ def matches(text, known, coverage=COVERAGE):
                 first, last = pairs[0][0], pairs[-1][0]
                 if len(pairs) >= DENSITY * (last - first + 1):
                     found.append((-share, -len(pairs), template.name, first, last))
-    taken, kept = [], []
+    taken, kept = bytearray(len(words)), []
     for share, _, name, first, last in sorted(found):
-        if all(last < a or b < first for a, b in taken):
-            taken.append((first, last))
+        if not any(taken[first:last + 1]):
+            taken[first:last + 1] = b"\1" * (last + 1 - first)
             kept.append((name, spans[first][0], spans[last][1], -share))
     return sorted(kept, key=lambda match: match[1])
 
