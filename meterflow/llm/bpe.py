@@ -226,14 +226,18 @@ def word_counts(docs, name, kept=KEPT_PIECES):
                     for word in tokenizer.words(piece):
                         counts[word] += n
             pieces.clear()
-            return pd.DataFrame({"word": list(counts), "n": list(counts.values())})
+            return pd.DataFrame({
+                "word": pd.Series(list(counts), dtype=object),
+                "n": pd.Series(list(counts.values()), dtype="int64"),
+            })
 
         for batch in batches:
             for text in batch["text"]:
                 pieces.update(tokenizer.pieces(text or ""))
                 if len(pieces) > kept:
                     yield rows()
-        yield rows()
+        if pieces:
+            yield rows()
 
     small_batches(docs.sparkSession)
     counted = docs.select("text").mapInPandas(count, "word string, n long")

@@ -149,7 +149,7 @@ def near_lanes(planes, values, words, valid, radius=RADIUS, every=8):
     bits at a time go through a carry-save step into the lowest counter; the carry goes up.
     """
     places = np.arange(len(values))
-    counters = [np.zeros(len(values), np.uint64) for _ in range(radius.bit_length())]
+    counters = [np.zeros(len(values), np.uint64) for _ in range(max(1, radius.bit_length()))]
     overflow = np.zeros(len(values), np.uint64)
 
     def differing(bit):

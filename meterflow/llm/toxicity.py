@@ -150,7 +150,8 @@ def _token_counts(sample):
             if len(counter) > 300_000:
                 yield _counted(counter)
                 counter = Counter()
-        yield _counted(counter)
+        if counter:
+            yield _counted(counter)
 
     counted = sample.select("text", "toxic", "fold").mapInPandas(
         count, "token binary, cell int, n long"

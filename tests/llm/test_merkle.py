@@ -1,0 +1,80 @@
+import re
+from hashlib import sha256
+
+from pyspark.sql import functions as F
+
+from meterflow.llm import merkle
+
+from .conftest import AWKWARD
+
+
+def digest(text):
+    return sha256(text.encode()).hexdigest()
+
+
+def tree(text):
+    paragraphs = [digest(line) for line in text.split("\n")]
+    sections, part = [], []
+    for node in paragraphs:
+        part.append(node)
+        if node[0] in "01":
+            sections.append(part)
+            part = []
+    if part:
+        sections.append(part)
+    sections = [digest(" ".join(part)) for part in sections]
+    return paragraphs, sections, digest(" ".join(sections))
+
+
+def runs(text):
+    return set(re.findall(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}", text))
+
+
+def alike(a, b):
+    total = len(a) + len(b)
+    return 2 * len(a & b) / total if total else 1.0
+
+
+def test_fingerprints_of_edits(make_docs):
+    rows = [r for r in AWKWARD if r[0] not in (None, 4)]
+    rows += [(100 + i, "\n".join(f"line {j} of text {i} {'ä' * j}" for j in range(i * 7))) for i in range(8)]
+    found = {r.doc_id: r for r in merkle.edited_fingerprints(make_docs(rows)).collect()}
+    order = sorted(rows, key=lambda r: -r[0])
+    for row, following in zip(order, order[1:] + order[:1]):
+        text, other = row[1] or "", following[1] or ""
+        half = len(text) // 2
+        edited = text[:len(text) - half] + other[:half]
+        got = found[row[0]]
+        assert got.n_chars == len(text) and got.edited_sha256 == digest(edited)
+        a, b = tree(text), tree(edited)
+        assert (got.fingerprint, got.edited_fingerprint) == (a[2], b[2])
+        assert (got.fingerprint == got.edited_fingerprint) == (text == edited)
+        assert abs(got.near_edited - alike(runs(text), runs(edited))) < 1e-12
+        assert abs(got.near_next - alike(runs(text), runs(other))) < 1e-12
+        places = [i + 1 for i in range(max(len(a[0]), len(b[0])))
+                  if a[0][i:i + 1] != b[0][i:i + 1]]
+        assert got.first_change == (places[0] if places else 0)
+        assert got.changed_sections == len(set(a[1]) - set(b[1]))
+
+
+def test_repeated_and_missing_ids(awkward, empty, make_docs):
+    found = merkle.edited_fingerprints(awkward).collect()
+    assert len(found) == len(AWKWARD)
+    assert len({r.edited_sha256 for r in found if r.doc_id == 4}) == 1
+    assert merkle.edited_fingerprints(empty).count() == 0
+    one = merkle.edited_fingerprints(make_docs([(3, "abcd")])).first()
+    assert one.edited_sha256 == digest("abab")
+
+
+def test_an_edit_changes_its_section_only(make_docs):
+    lines = [f"paragraph {i}" for i in range(200)]
+    edited = lines[:120] + ["another"] + lines[121:]
+    docs = make_docs([(1, "\n".join(lines)), (2, "\n".join(edited))])
+    docs = merkle.add_tree(docs, F.col("text"), "t_")
+    a, b = docs.orderBy("doc_id").collect()
+    changed = set(a.t_sections) ^ set(b.t_sections)
+    assert a.t_root != b.t_root and 0 < len(changed) <= 4 < len(a.t_sections)
+
+
+def test_plan_is_native_and_deals_texts_once_per_key(awkward, plan):
+    assert "Python" not in plan(merkle.edited_fingerprints(awkward))
