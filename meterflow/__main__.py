@@ -1,16 +1,19 @@
 """Jobs for spark-submit: see ``run.py --help``."""
 
 import argparse
+import importlib
 
 from pyspark.sql import functions as F
 
-from meterflow.operators.forecast import forecast_trend
-from meterflow.operators.ranges import time_literal
+from meterflow.operators.forecast import forecast_features, forecast_score, forecast_trend
+from meterflow.operators.minutes import speed_minutes
+from meterflow.operators.ranges import BY_DATE, BY_MINUTE, time_literal
 from meterflow.plans import reports, serving
+from meterflow.schema import CALENDAR
 from meterflow.session import build_session
 from meterflow.sources import history, tables
-from meterflow.sources.messages import parse_readings, read_messages
-from meterflow.sources.partials import fold_batches
+from meterflow.sources.messages import encode_readings, parse_readings, read_messages
+from meterflow.sources.stores import batch_store, speed_store
 from meterflow.streaming import jobs
 
 
@@ -52,9 +55,54 @@ def run_batch(spark, args):
     jobs.await_all([jobs.start_batch(readings, args.checkpoint, args.out, trigger=trigger)])
 
 
+def speed_schema(spark):
+    """The columns of the speed view."""
+    nothing = parse_readings(spark.createDataFrame([], "value string"))
+    return speed_minutes(nothing).schema
+
+
+def store(spark, args):
+    if args.layer == "batch":
+        return batch_store(spark, args.root)
+    return speed_store(spark, args.root, speed_schema(spark))
+
+
 def run_fold(spark, args):
-    """Fewer files for the batch layer."""
-    fold_batches(spark, args.root, args.upto)
+    """Fewer files for the batch layer or the speed layer."""
+    store(spark, args).fold(args.upto)
+
+
+def run_vacuum(spark, args):
+    """Remove what folds have made superfluous."""
+    print(store(spark, args).vacuum(args.grace))
+
+
+def run_merged(spark, args):
+    """One view over both stored layers."""
+    view = serving.merged_stored_view(
+        spark, args.batch, args.speed, speed_schema(spark), args.delay
+    )
+    tables.write_by_date(view, args.out, "start_time", mode="overwrite")
+
+
+def run_send(spark, args):
+    """Readings as JSON messages to a topic or any other sink."""
+    records = encode_readings(spark.read.parquet(args.path))
+    tables.append_to(records, args.sink, pairs(args.sink_option))
+
+
+def run_declare(spark, args):
+    """Name a folder written by this program in the catalog."""
+    stored = spark.read.parquet(args.path)
+    parts = {"date": "date"} if "date" in stored.columns else dict.fromkeys(CALENDAR, "string")
+    columns = {name: kind for name, kind in stored.dtypes if name not in parts}
+    tables.declare_table(spark, args.table, args.path, columns, parts)
+    tables.repair_partitions(spark, args.table)
+
+
+def run_expire(spark, args):
+    """Drop the days of a catalog table before a date, files included."""
+    print(tables.drop_before(spark, args.table, args.before))
 
 
 def run_publish(spark, args):
@@ -75,50 +123,73 @@ def run_backfill(spark, args):
 
 
 def batch_table(spark, args):
+    """The table of a report, and how it is partitioned by time."""
     if args.path:
-        return spark.read.parquet(args.path)
+        return spark.read.parquet(args.path), args.partitions
     if args.repair:
         tables.repair_partitions(spark, args.table)
-    return spark.table(args.table)
+    columns = tables.partition_columns(spark, args.table)
+    known = {("date",): BY_DATE, tuple(CALENDAR): BY_MINUTE}.get(tuple(columns))
+    return spark.table(args.table), args.partitions or known
 
 
 def give(rows, args):
-    if args.out:
-        rows.write.mode("overwrite").format(args.out_format).save(args.out)
+    """Store the whole result; print some of it only if asked to."""
+    if args.sink:
+        tables.append_to(rows, args.sink, pairs(args.sink_option))
     else:
+        rows.write.mode("overwrite").format(args.out_format).save(args.out)
+    if args.show:
         rows.show(args.show, truncate=False)
 
 
 def run_voltage(spark, args):
     """Voltage in the minutes after a start."""
-    give(reports.voltage_range(batch_table(spark, args), args.start, args.minutes), args)
+    table, parts = batch_table(spark, args)
+    give(reports.voltage_range(table, args.start, args.minutes, parts), args)
 
 
 def run_power_factor(spark, args):
     """Power factor from a start to an end."""
-    give(reports.power_factor(batch_table(spark, args), args.start, args.end), args)
+    table, parts = batch_table(spark, args)
+    give(reports.power_factor(table, args.start, args.end, parts), args)
 
 
 def run_high_power(spark, args):
     """Rows above a load in the minutes after a start."""
-    table = batch_table(spark, args)
-    give(reports.high_power(table, args.min_power, args.start, args.minutes), args)
+    table, parts = batch_table(spark, args)
+    give(reports.high_power(table, args.min_power, args.start, args.minutes, parts), args)
+
+
+def user_model(name):
+    """The function ``module:function`` that makes a model for ``forecast_score``."""
+    module, _, function = name.partition(":")
+
+    def load_model():
+        return getattr(importlib.import_module(module), function)()
+
+    return load_model
 
 
 def run_forecast(spark, args):
     """The next six minutes of every sensor from its last thirty, stamped with now."""
-    table = batch_table(spark, args)
+    table, parts = batch_table(spark, args)
     if "sensor_id" not in table.columns:
         table = table.withColumn("sensor_id", F.lit(1))
-    predictions = forecast_trend(
-        table, args.time, args.value, prediction_time=F.current_timestamp(),
-        since=time_literal(table, args.since, args.time) if args.since else None,
-        known=spark.read.parquet(args.sensors) if args.sensors else None,
-    )
-    if args.sink:
-        tables.append_to(predictions, args.sink, pairs(args.sink_option))
+    recent = {
+        "since": time_literal(table, args.since, args.time) if args.since else None,
+        "known": spark.read.parquet(args.sensors) if args.sensors else None,
+        "partitions": parts,
+    }
+    now = F.current_timestamp()
+    if args.model:
+        vectors = forecast_features(table, args.time, args.value, **recent)
+        predictions = forecast_score(vectors, user_model(args.model), now)
     else:
-        give(predictions, args)
+        predictions = forecast_trend(
+            table, args.time, args.value, prediction_time=now, **recent
+        )
+    give(predictions, args)
 
 
 def parser():
@@ -144,9 +215,14 @@ def parser():
     where.add_argument("--table", help="catalog table")
     where.add_argument("--path", help="Parquet folder")
     table.add_argument("--repair", action="store_true", help="look for new partitions first")
-    table.add_argument("--out", help="write the result here instead of printing it")
+    table.add_argument("--partitions", choices=[BY_DATE, BY_MINUTE],
+                       help="how the folder is partitioned by time; a catalog table tells")
+    result = table.add_mutually_exclusive_group(required=True)
+    result.add_argument("--out", help="folder for the result")
+    result.add_argument("--sink", help="format of a sink to append the result to")
     table.add_argument("--out-format", default="parquet")
-    table.add_argument("--show", type=int, default=50, help="rows to print")
+    table.add_argument("--sink-option", action="append", metavar="K=V")
+    table.add_argument("--show", type=int, help="also print so many rows")
 
     speed = command("speed", run_speed, stream)
     target = speed.add_mutually_exclusive_group(required=True)
@@ -158,9 +234,30 @@ def parser():
     batch = command("batch", run_batch, stream)
     batch.add_argument("--out", required=True)
     batch.add_argument("--every", default="1 minute")
-    fold = command("fold", run_fold)
-    fold.add_argument("--root", required=True)
-    fold.add_argument("--upto", type=int, required=True, help="last finished micro-batch")
+    layer = argparse.ArgumentParser(add_help=False)
+    layer.add_argument("--root", required=True, help="folder of the layer")
+    layer.add_argument("--layer", choices=["batch", "speed"], default="batch")
+    fold = command("fold", run_fold, layer)
+    fold.add_argument("--upto", type=int, help="last micro-batch to fold; all finished ones if "
+                                               "left out")
+    vacuum = command("vacuum", run_vacuum, layer)
+    vacuum.add_argument("--grace", type=int, default=3600,
+                        help="seconds that reads may take; younger folders stay")
+    merged = command("merged", run_merged)
+    merged.add_argument("--batch", required=True, help="folder of the batch layer")
+    merged.add_argument("--speed", required=True, help="folder of the speed layer")
+    merged.add_argument("--delay", default="1 minute", help="how late readings may come")
+    merged.add_argument("--out", required=True)
+    send = command("send", run_send)
+    send.add_argument("--path", required=True, help="Parquet folder of readings")
+    send.add_argument("--sink", required=True, help="format, such as kafka")
+    send.add_argument("--sink-option", action="append", metavar="K=V")
+    declare = command("declare", run_declare)
+    declare.add_argument("--table", required=True)
+    declare.add_argument("--path", required=True)
+    expire = command("expire", run_expire)
+    expire.add_argument("--table", required=True)
+    expire.add_argument("--before", required=True, help="first day to keep")
     publish = command("publish", run_publish)
     publish.add_argument("--root", required=True)
     publish.add_argument("--out", required=True)
@@ -190,8 +287,8 @@ def parser():
     predict.add_argument("--value", default="global_active_power")
     predict.add_argument("--since", help="read older rows only for sensors that need them")
     predict.add_argument("--sensors", help="Parquet folder of all sensor ids, for --since")
-    predict.add_argument("--sink", help="format of a sink to append to")
-    predict.add_argument("--sink-option", action="append", metavar="K=V")
+    predict.add_argument("--model", metavar="MODULE:FUNCTION",
+                         help="makes the model; the built-in trend if left out")
     return top
 
 

@@ -1,4 +1,5 @@
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from meterflow.schema import CALENDAR, NA_TEXT
 
@@ -11,9 +12,24 @@ def event_time(epoch_ms):
     return F.timestamp_millis(epoch_ms)
 
 
-def calendar_parts(ts):
-    """Zero-padded year, month, day, hour and minute text of a timestamp."""
-    return [F.date_format(ts, fmt).alias(name) for name, fmt in CALENDAR.items()]
+def utc_time(ts, kind):
+    """The time in UTC, as a timestamp without zone: the same whatever the session's zone."""
+    if not isinstance(kind, TimestampType):
+        return ts
+    seconds = (F.unix_micros(ts) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+
+
+def utc_day(ts, kind):
+    """The day in UTC."""
+    return F.to_date(utc_time(ts, kind))
+
+
+def calendar_parts(ts, kind=None):
+    """Zero-padded year, month, day, hour and minute text of a timestamp, in UTC."""
+    ts = F.col(ts) if isinstance(ts, str) else ts
+    time = ts if kind is None else utc_time(ts, kind)
+    return [F.date_format(time, fmt).alias(name) for name, fmt in CALENDAR.items()]
 
 
 def clamp(value, low, high):

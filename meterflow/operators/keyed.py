@@ -1,5 +1,7 @@
 """Keyed-table contracts: last write wins, newest first, retention, latest rows per key."""
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -19,11 +21,15 @@ def dedupe_last_write(rows, keys, order):
     )
 
 
-def retain_recent(rows, seconds, anchor=None, ts="timestamp"):
-    """Rows newer than ``seconds`` before ``anchor``, by default the newest row."""
-    anchor = rows.agg(F.max(ts)).scalar() if anchor is None else anchor
+def retain_recent(rows, seconds, anchor=None, ts="timestamp", partitions=None):
+    """Rows newer than ``seconds`` before ``anchor``, by default the newest row.
+
+    The default reads the whole table for its newest time; ``tables.newest_time`` reads one day
+    of a table stored by date. For ``partitions`` see ``ranges.between``.
+    """
+    anchor = rows.agg(F.max(ts)).scalar() if anchor is None else F.lit(anchor)
     edge = anchor - F.make_dt_interval(secs=F.lit(seconds))
-    return between(rows, edge, ts=ts).filter(F.col(ts) > edge)
+    return between(rows, edge, ts=ts, partitions=partitions, strict=True)
 
 
 def latest_n(rows, n, keys=("sensor_id",), order=("timestamp",), salts=16, rank="rank"):
@@ -48,21 +54,35 @@ def latest_n(rows, n, keys=("sensor_id",), order=("timestamp",), salts=16, rank=
     return rows.withColumn(rank, F.row_number().over(within)).filter(F.col(rank) <= n)
 
 
+def same_keys(keys, left, right):
+    """A condition under which two aliased frames agree in all keys, null with null."""
+    return reduce(
+        lambda a, b: a & b, [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    )
+
+
 def latest_n_since(rows, n, since, known, keys=("sensor_id",), order=("timestamp",), salts=16,
-                   rank="rank"):
+                   rank="rank", partitions=None):
     """As ``latest_n``, reading rows before ``since`` only where they are needed.
 
     ``order[0]`` is the time column (rows without a time are left out), ``since`` a column
-    bound on it, and ``known`` a frame of all keys. Keys with ``n`` rows from ``since`` on are
-    done. Older rows are read for the other keys alone: their list is written first, so Spark
-    broadcasts it if its size allows, filters the older rows before any shuffle, and leaves
-    the older scan out if the list is empty.
+    bound on it, and ``known`` a frame of all keys, such as a kept sensor dimension; a null key
+    is a key like any other. Keys with ``n`` rows from ``since`` on are done. Older rows are
+    read for the other keys alone: their list is written first, so Spark broadcasts it if its
+    size allows, filters the older rows before any shuffle, and leaves the older scan out if the
+    list is empty. For ``partitions`` see ``ranges.between``.
     """
     ts, keys = order[0], list(keys)
-    recent = written(latest_n(between(rows, since, ts=ts), n, keys, order, salts, rank), "recent")
-    done = recent.filter(F.col(rank) == n).select(*keys)
-    unfinished = written(known.select(*keys).join(done, keys, "left_anti"), "unfinished")
-    older = between(rows, high=since, ts=ts).join(unfinished, keys, "left_semi")
+    newest = between(rows, since, ts=ts, partitions=partitions)
+    recent = written(latest_n(newest, n, keys, order, salts, rank), "recent")
+    done = recent.filter(F.col(rank) == n).select(*keys).alias("done")
+    unfinished = known.select(*keys).distinct().alias("known").join(
+        done, same_keys(keys, "known", "done"), "left_anti"
+    )
+    unfinished = written(unfinished, "unfinished").alias("open")
+    older = between(rows, high=since, ts=ts, partitions=partitions).alias("rows").join(
+        unfinished, same_keys(keys, "rows", "open"), "left_semi"
+    )
     return latest_n(recent.drop(rank).unionByName(older), n, keys, order, salts, rank)
 
 

@@ -49,10 +49,20 @@ CALENDAR_PARTS = ", ".join(
 MILLISECONDS = f"""SELECT event_id, sensor_id, "time",
     date_trunc('millisecond', "timestamp")::TIMESTAMP AS "timestamp", {ALL} FROM readings"""
 
-HISTORY = """SELECT event_id, date_trunc('second', "timestamp")::TIMESTAMP AS "timestamp",
-    global_active_power, global_reactive_power,
-    CASE WHEN sub_metering_1 % 10 <> 0 THEN voltage END AS voltage, global_intensity,
-    sub_metering_1, sub_metering_2, sub_metering_3 FROM readings"""
+HISTORY = """SELECT event_id,
+    CASE WHEN event_id % 37 <> 5 THEN date_trunc('second', "timestamp")::TIMESTAMP END
+      AS "timestamp",
+    global_active_power,
+    CASE WHEN event_id % 53 <> 17 THEN global_reactive_power END AS global_reactive_power,
+    CASE WHEN sub_metering_1 % 10 <> 0 THEN voltage END AS voltage,
+    CASE WHEN event_id % 41 <> 7 THEN global_intensity END AS global_intensity,
+    sub_metering_1,
+    CASE WHEN event_id % 43 <> 11 THEN sub_metering_2 END AS sub_metering_2,
+    CASE WHEN event_id % 47 <> 13 THEN sub_metering_3 END AS sub_metering_3 FROM readings"""
+COMPLETE = " AND ".join(
+    f"{m} IS NOT NULL"
+    for m in ("global_reactive_power", "voltage", "global_intensity", "sub_metering_2",
+              "sub_metering_3"))
 
 RECENT = """recent AS (
   SELECT sensor_id, start_time, load, rank FROM (
@@ -63,16 +73,17 @@ RECENT = """recent AS (
   WHERE rank <= 30)"""
 
 
-def _trend(load):
+def _trend(load, recent=RECENT, digits=6):
     steps = ", ".join(
-        f"round(greatest(0, level + slope * {step}), 6) AS {name}"
+        f"round(greatest(0, level + slope * {step}), {digits}) AS {name}"
         for step, name in enumerate(PREDICTIONS)
     )
-    return f"""{WITH}, {RECENT}
+    return f"""{WITH}, {recent}
   SELECT sensor_id, prediction_time, {steps} FROM (
     SELECT sensor_id, max(start_time) AS prediction_time,
-      regr_slope({load}, -rank) AS slope, regr_intercept({load}, -rank) AS level
-    FROM recent GROUP BY sensor_id HAVING count(load) >= 30)"""
+      CASE WHEN count(*) > 1 THEN regr_slope({load}, -rank) ELSE 0 END AS slope,
+      CASE WHEN count(*) > 1 THEN regr_intercept({load}, -rank) ELSE avg({load}) END AS level
+    FROM recent GROUP BY sensor_id)"""
 
 
 def _last_write(key, expression):
@@ -86,12 +97,33 @@ def _retained(seconds):
     (SELECT max("timestamp") FROM readings) - INTERVAL {seconds} SECONDS"""
 
 
-LATEST = f"""{WITH} SELECT sensor_id, event_id, "timestamp", global_active_power,
+def _latest(rows):
+    return f"""SELECT sensor_id, event_id, "timestamp", global_active_power,
     row_number() OVER (PARTITION BY sensor_id
       ORDER BY "timestamp" DESC, event_id DESC)::INT AS rank
-  FROM readings QUALIFY rank <= 30"""
+  FROM {rows} QUALIFY rank <= 30"""
 
-IMPORTED = f"{WITH} SELECT * FROM ({HISTORY}) WHERE voltage IS NOT NULL"
+
+IMPORTED = f"""{WITH} SELECT * FROM ({HISTORY})
+    WHERE "timestamp" IS NOT NULL AND {COMPLETE}"""
+
+# The same readings with one null sensor in place of every 97th id.
+NULL_SENSOR = """nameless AS (SELECT
+    CASE WHEN sensor_id % 97 <> 0 THEN sensor_id END AS sensor_id, event_id, "timestamp",
+    global_active_power FROM readings)"""
+
+# Minutes of one sensor per user and kind of event, every fifth reading without a load.
+SHORT = """recent AS (
+  SELECT sensor_id, start_time, load, rank FROM (
+    SELECT *, row_number() OVER (PARTITION BY sensor_id ORDER BY start_time DESC) AS rank
+    FROM (SELECT readings.sensor_id || '-' || event_type AS sensor_id,
+            date_trunc('minute', "timestamp")::TIMESTAMP AS start_time,
+            avg(CASE WHEN readings.event_id % 5 <> 0 THEN global_active_power END) AS load
+          FROM readings JOIN events USING (event_id) GROUP BY 1, 2)
+    WHERE load IS NOT NULL)
+  WHERE rank <= 30)"""
+
+CLOSED = """(SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 MINUTE"""
 
 ORACLE = {
     "parse_readings": f"{WITH} {MILLISECONDS}",
@@ -99,8 +131,10 @@ ORACLE = {
         "time"::DOUBLE AS "time", {ALL} FROM readings""",
     "import_clean": IMPORTED,
     "import_file": IMPORTED,
-    "import_counts": f"""{WITH} SELECT count(*) AS rows_read, count(voltage) AS rows_kept,
-        0::BIGINT AS bad_timestamp, count(*) - count(voltage) AS missing_value
+    "import_counts": f"""{WITH} SELECT count(*) AS rows_read,
+        count_if("timestamp" IS NOT NULL AND {COMPLETE})::BIGINT AS rows_kept,
+        count_if("timestamp" IS NULL)::BIGINT AS bad_timestamp,
+        count_if("timestamp" IS NOT NULL AND NOT ({COMPLETE}))::BIGINT AS missing_value
         FROM ({HISTORY})""",
     "calendar_parts": f"""{WITH} SELECT event_id,
         date_trunc('minute', "timestamp")::TIMESTAMP AS minute_start, {CALENDAR_PARTS}
@@ -113,11 +147,11 @@ ORACLE = {
     "speed_day": f"{WITH} {_speed('day')}",
     "batch_minute": f"{WITH} {_batch()}",
     "partials_minute": f"{WITH} {_speed()}",
-    "stream_speed_minute": f"""{WITH} SELECT * FROM ({_speed()}) WHERE end_time <=
-        (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 MINUTE""",
+    "stream_speed_minute": f"{WITH} SELECT * FROM ({_speed()}) WHERE end_time <= {CLOSED}",
     "stream_batch_minute": f"{WITH} {_batch()}",
     "folded_batch_minute": f"{WITH} {_speed()}",
     "stream_drop_repeats": f"{WITH} {MILLISECONDS}",
+    "stream_raw_once": f"{WITH} {MILLISECONDS}",
     "stream_raw_readings": f"{WITH} {MILLISECONDS}",
     "dedupe_last_write": _last_write(
         "minute_start", "date_trunc('minute', \"timestamp\")::TIMESTAMP"),
@@ -144,17 +178,20 @@ ORACLE = {
           round(p / nullif(sqrt(p * p + q * q), 0), 9) AS power_factor
         FROM batch WHERE {RANGE.replace('"timestamp"', 'minute_start')}
         ORDER BY minute_start""",
-    "calendar_layout": f"""{WITH} SELECT *, {CALENDAR_PARTS} FROM ({_batch('day')})
+    "calendar_layout": f"""{WITH} SELECT *, {CALENDAR_PARTS} FROM ({_batch('hour')})
         WHERE {RANGE}""",
     "pruned_range": f"{WITH} SELECT * FROM readings WHERE {RANGE}",
-    "latest_n": LATEST,
-    "latest_n_since": LATEST,
+    "latest_n": f"{WITH} {_latest('readings')}",
+    "latest_n_since": f"{WITH}, {NULL_SENSOR} {_latest('nameless')}",
     "forecast_features": f"""{WITH}, {RECENT}
         SELECT sensor_id, max(start_time) OVER (PARTITION BY sensor_id) AS last_time,
-          (30 - rank)::INT AS place, round(load::FLOAT::DOUBLE, 6) AS "value"
-        FROM recent QUALIFY count(*) OVER (PARTITION BY sensor_id) >= 30""",
+          (count(*) OVER (PARTITION BY sensor_id) - rank)::INT AS place, round(load::FLOAT::DOUBLE, 6) AS "value"
+        FROM recent""",
     "forecast_trend": _trend("load"),
     "forecast_stored": _trend("load"),
     "forecast_score": _trend("load::FLOAT::DOUBLE"),
+    "forecast_short": _trend("load", SHORT, 9),
+    "forecast_short_score": _trend("load::FLOAT::DOUBLE", SHORT),
     "merged_view": f"{WITH} {_speed()}",
+    "merged_stored": f"{WITH} SELECT * FROM ({_speed()}) WHERE end_time <= {CLOSED}",
 }

@@ -4,15 +4,20 @@ from pyspark.sql import functions as F
 
 from meterflow.functions.columns import calendar_parts, clamp
 from meterflow.operators import forecast, keyed, minutes
-from meterflow.operators.ranges import range_of, time_range
+from meterflow.operators.ranges import BY_DATE, BY_MINUTE, range_of, time_range
 from meterflow.plans import reports
-from meterflow.plans.serving import merged_view, stored_batch_view, stored_sensor_view
+from meterflow.plans.serving import (
+    merged_stored_view,
+    merged_view,
+    stored_batch_view,
+    stored_sensor_view,
+)
 from meterflow.schema import BATCH_VIEW, BOUNDS, MEASURES, SPEED_VIEW
-from meterflow.session import work_folder
+from meterflow.session import work_folder, written
 from meterflow.sources import events as source
 from meterflow.sources import history, tables
 from meterflow.sources.messages import read_messages
-from meterflow.sources.partials import fold_batches
+from meterflow.sources.stores import batch_store, speed_store
 from meterflow.streaming import jobs
 
 # Range of the reports: four whole weeks inside the month the events cover.
@@ -54,7 +59,8 @@ def encode_messages(spark, sf_dir):
 
 
 def history_text(spark, sf_dir):
-    """Readings as the text of a historical file, with "?" for some voltages."""
+    """Readings as the text of a historical file, with dates that are none, markers for "no
+    value" in several columns, and text that only looks like a number."""
     rows = source.readings(spark, sf_dir)
     capitalised = {m: m.capitalize() for m in MEASURES}
     text = rows.select(
@@ -63,8 +69,20 @@ def history_text(spark, sf_dir):
         F.date_format("timestamp", "HH:mm:ss").alias("Time"),
         *[F.col(m).cast("string").alias(capitalised[m]) for m in MEASURES],
     )
+
+    def spoil(column, every, place, value):
+        bad = F.col("event_id").cast("bigint") % every == place
+        return F.when(bad, value).otherwise(F.col(column))
+
     unknown = F.col("Sub_metering_1").cast("double") % 10 == 0
-    return text.withColumn("Voltage", F.when(unknown, "?").otherwise(F.col("Voltage")))
+    return text.withColumns({
+        "Voltage": F.when(unknown, "?").otherwise(F.col("Voltage")),
+        "Date": spoil("Date", 37, 5, "31/2/2024"),
+        "Global_intensity": spoil("Global_intensity", 41, 7, "nan"),
+        "Sub_metering_2": spoil("Sub_metering_2", 43, 11, "1.5d"),
+        "Sub_metering_3": spoil("Sub_metering_3", 47, 13, "N/A"),
+        "Global_reactive_power": spoil("Global_reactive_power", 53, 17, ""),
+    })
 
 
 def import_clean(spark, sf_dir):
@@ -117,15 +135,6 @@ def partials_minute(spark, sf_dir):
     return rounded(minutes.speed_from_partials(partials), AVERAGES, 9)
 
 
-def stream_speed_minute(spark, sf_dir):
-    root, checkpoint = work_folder(spark, "speed"), work_folder(spark, "speed-progress")
-    live = source.parse_records(source.as_records(source.events_stream(spark, sf_dir)))
-    jobs.await_all([jobs.start_speed(live, checkpoint, root, trigger=ONCE)])
-    schema = jobs.speed_stream(live).schema
-    stored = tables.read_batches(spark, root, schema).drop("batch_id", "date")
-    return rounded(naive(stored, "start_time", "end_time"), AVERAGES, 9)
-
-
 def live_topic(spark, sf_dir, batches, copies=1):
     """Parsed readings of a topic that comes in so many micro-batches, each event that often."""
     topic = work_folder(spark, "topic")
@@ -139,43 +148,99 @@ def live_topic(spark, sf_dir, batches, copies=1):
     return source.parse_records(read_messages(spark, "parquet", options, records.schema))
 
 
-def stored_batches(spark, sf_dir):
-    """The batch layer after four micro-batches that cut through the minutes."""
+def sliced_topic(spark, sf_dir, slices=3, late=False, upto=None):
+    """Parsed readings of a topic that comes in micro-batches ordered by time, cut at minutes.
+
+    With ``late`` every 50th event comes in the next slice, and every 7th comes twice, the second
+    time in the next slice. ``upto`` stops after so many slices.
+    """
+    topic, files = work_folder(spark, "topic"), 4
+    rows = source.events(spark, sf_dir)
+    first, last = rows.agg(F.min("ts"), F.max("ts")).first()
+    minute = F.unix_seconds(F.date_trunc("minute", F.col("ts").cast("timestamp")))
+    span = max(1.0, (last - first).total_seconds())
+    begin = F.unix_seconds(F.lit(first).cast("timestamp"))
+    slot = F.least(F.floor((minute - begin) / F.lit(span) * slices), F.lit(slices - 1))
+    slot = F.greatest(slot, F.lit(0))
+    following = F.least(slot + 1, F.lit(slices - 1))
+    if late:
+        own = F.when(F.col("event_id") % 50 == 0, following).otherwise(slot)
+        slots = F.when(F.col("event_id") % 7 == 0, F.array(own, following)).otherwise(F.array(own))
+    else:
+        slots = F.array(slot)
+    marked = rows.select("*", F.explode(slots).alias("slot"))
+    for i in range(slices if upto is None else upto):
+        records = source.as_records(marked.filter(F.col("slot") == i).drop("slot"))
+        # As many files in each slice, so that a slice is a micro-batch, later ones newer.
+        records.repartition(files, F.rand(i)).write.parquet(topic, mode="append")
+    options = {"path": topic, "maxFilesPerTrigger": files}
+    return source.parse_records(read_messages(spark, "parquet", options, records.schema))
+
+
+def stored_speed(spark, live):
+    """The speed layer's store after all micro-batches, and the schema of its rows."""
+    root, checkpoint = work_folder(spark, "speed"), work_folder(spark, "speed-progress")
+    jobs.await_all([jobs.start_speed(live, checkpoint, root, trigger=ONCE)])
+    return root, jobs.speed_stream(live).schema
+
+
+def stream_speed_minute(spark, sf_dir):
+    """Three micro-batches, the first two folded."""
+    root, schema = stored_speed(spark, sliced_topic(spark, sf_dir))
+    store = speed_store(spark, root, schema)
+    store.fold(1)
+    return rounded(naive(store.read().drop("date"), "start_time", "end_time"), AVERAGES, 9)
+
+
+def stored_batches(spark, live):
+    """The batch layer's folder after all micro-batches."""
     root, checkpoint = work_folder(spark, "batch"), work_folder(spark, "batch-progress")
-    live = live_topic(spark, sf_dir, 4)
     jobs.await_all([jobs.start_batch(live, checkpoint, root, trigger=ONCE)])
     return root
 
 
 def stream_batch_minute(spark, sf_dir):
-    view = stored_batch_view(spark, stored_batches(spark, sf_dir))
+    """Four micro-batches that cut through the minutes."""
+    view = stored_batch_view(spark, stored_batches(spark, live_topic(spark, sf_dir, 4)))
     return rounded(naive(view, "timestamp"), AVERAGES, 9)
 
 
 def folded_batch_minute(spark, sf_dir):
-    """The same view with the first two micro-batches, then the first three, folded by day."""
-    root = stored_batches(spark, sf_dir)
+    """The same view with the first two micro-batches, then the first three, folded by day, and
+    what the folds made superfluous removed."""
+    root = stored_batches(spark, live_topic(spark, sf_dir, 4))
+    store = batch_store(spark, root)
     for upto in (1, 2):
-        fold_batches(spark, root, upto)
+        store.fold(upto)
+    store.vacuum(grace_seconds=0)
     view = stored_sensor_view(spark, root)
     return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)
 
 
+def stored_raw(spark, live):
+    """Stored raw readings after all micro-batches."""
+    path, checkpoint = work_folder(spark, "raw"), work_folder(spark, "raw-progress")
+    jobs.await_all([jobs.start_raw(live, checkpoint, path, trigger=ONCE)])
+    return spark.read.schema(live.schema).parquet(path).drop("date")
+
+
 def stream_drop_repeats(spark, sf_dir):
-    """Every message sent twice, stored once."""
-    root, checkpoint = work_folder(spark, "once"), work_folder(spark, "once-progress")
-    live = live_topic(spark, sf_dir, 1, copies=2)
-    jobs.await_all([jobs.start_raw_once(live, checkpoint, root, trigger=ONCE)])
-    stored = tables.read_batches(spark, root, live.schema).drop("batch_id", "date")
-    return naive(stored.withColumnRenamed("offset", "event_id"), "timestamp")
+    """Every message sent twice, read once."""
+    stored = stored_raw(spark, live_topic(spark, sf_dir, 1, copies=2))
+    once = jobs.stored_once(stored.withColumnRenamed("offset", "event_id"), ["event_id"])
+    return naive(once, "timestamp")
+
+
+def stream_raw_once(spark, sf_dir):
+    """Three micro-batches in time order, with repeats across them and late readings."""
+    stored = stored_raw(spark, sliced_topic(spark, sf_dir, late=True))
+    once = jobs.stored_once(stored.withColumnRenamed("offset", "event_id"), ["event_id"])
+    return naive(once, "timestamp")
 
 
 def stream_raw_readings(spark, sf_dir):
-    path, checkpoint = work_folder(spark, "raw"), work_folder(spark, "raw-progress")
     live = source.parse_records(source.as_records(source.events_stream(spark, sf_dir)))
-    jobs.await_all([jobs.start_raw(live, checkpoint, path, trigger=ONCE)])
-    stored = spark.read.schema(live.schema).parquet(path).drop("date")
-    return naive(stored.withColumnRenamed("offset", "event_id"), "timestamp")
+    return naive(stored_raw(spark, live).withColumnRenamed("offset", "event_id"), "timestamp")
 
 
 def dedupe_last_write(spark, sf_dir):
@@ -190,12 +255,26 @@ def dedupe_sensor_day(spark, sf_dir):
     return keyed.dedupe_last_write(rows, ["sensor_id", "day"], ["event_id"])
 
 
+def dated(spark, rows, ts="timestamp"):
+    """The rows as a table by date: its path and a frame that reads it."""
+    path = work_folder(spark, "dated")
+    tables.write_by_date(rows, path, ts)
+    return path, spark.read.parquet(path)
+
+
+def retained(spark, sf_dir, seconds):
+    """On a table by date; only its newest days are read."""
+    path, rows = dated(spark, source.readings(spark, sf_dir))
+    newest = tables.newest_time(spark, path)
+    return keyed.retain_recent(rows, seconds, newest, partitions=BY_DATE).drop("date")
+
+
 def retain_recent(spark, sf_dir):
-    return keyed.retain_recent(source.readings(spark, sf_dir), 86400)
+    return retained(spark, sf_dir, 86400)
 
 
 def retain_300s(spark, sf_dir):
-    return keyed.retain_recent(source.readings(spark, sf_dir), 300)
+    return retained(spark, sf_dir, 300)
 
 
 def sensor_dim(spark, sf_dir):
@@ -219,31 +298,35 @@ def high_power(spark, sf_dir):
 
 
 def batch_power_factor(spark, sf_dir):
-    """The power-factor report on a stored batch view, named in the catalog."""
+    """The power-factor report on a stored batch view, named in the catalog for a while."""
     view = minutes.batch_minutes(source.readings(spark, sf_dir))
     path = work_folder(spark, "batch-view")
     tables.write_by_date(view, path)
     name = "meter_batch_" + path.rsplit("-", 1)[-1]
     tables.declare_table(spark, name, path, dict(view.dtypes), {"date": "date"})
-    tables.repair_partitions(spark, name)
-    report = reports.power_factor(spark.table(name), START, END)
+    try:
+        tables.repair_partitions(spark, name)
+        report = reports.power_factor(spark.table(name), START, END, partitions=BY_DATE)
+        report = written(report, "report").orderBy(*report.columns[:3])
+    finally:
+        spark.sql(f"DROP TABLE {name}")
     return rounded(report, report.columns[1:], 9)
 
 
 def calendar_layout(spark, sf_dir):
-    """Daily rows of the batch view by way of year/month/day/hour/minute folders."""
-    view = minutes.batch_minutes(source.readings(spark, sf_dir), size="1 day")
+    """Hourly rows of the batch view by way of year/month/day/hour/minute folders."""
+    view = minutes.batch_minutes(source.readings(spark, sf_dir), size="1 hour")
     path = work_folder(spark, "calendar")
     tables.write_by_minute(view, path)
     columns = ", ".join(f"{name} {kind}" for name, kind in view.dtypes)
     stored = tables.read_by_minute(spark, path, columns)
-    return rounded(time_range(stored, *range_of(START, END)), AVERAGES, 9)
+    rows = time_range(stored, *range_of(START, END), partitions=BY_MINUTE)
+    return rounded(rows, AVERAGES, 9)
 
 
 def pruned_range(spark, sf_dir):
-    path = work_folder(spark, "dated")
-    tables.write_by_date(source.readings(spark, sf_dir), path)
-    return time_range(spark.read.parquet(path), *range_of(START, END)).drop("date")
+    _, rows = dated(spark, source.readings(spark, sf_dir))
+    return time_range(rows, *range_of(START, END), partitions=BY_DATE).drop("date")
 
 
 def latest_n(spark, sf_dir):
@@ -253,14 +336,23 @@ def latest_n(spark, sf_dir):
     return keyed.latest_n(rows, 30, order=["timestamp", "event_id"])
 
 
+def two_weeks_before(newest):
+    return F.lit(newest) - F.expr("INTERVAL 14 DAYS")
+
+
 def latest_n_since(spark, sf_dir):
-    """The same rows, older ones read only for sensors with few rows in the last two weeks."""
+    """The same rows, on a table by date and with a null sensor; older rows are read only for
+    sensors with few rows in the last two weeks, which the stored sensor dimension names."""
     rows = source.readings(spark, sf_dir).select(
-        "timestamp", "sensor_id", "event_id", "global_active_power"
+        F.when(F.col("sensor_id") % 97 != 0, F.col("sensor_id")).alias("sensor_id"),
+        "timestamp", "event_id", "global_active_power",
     )
-    since = rows.agg(F.max("timestamp")).scalar() - F.expr("INTERVAL 14 DAYS")
-    known = keyed.sensors(rows)
-    return keyed.latest_n_since(rows, 30, since, known, order=["timestamp", "event_id"])
+    known = written(keyed.sensors(rows), "sensors")
+    path, stored = dated(spark, rows)
+    since = two_weeks_before(tables.newest_time(spark, path))
+    return keyed.latest_n_since(
+        stored, 30, since, known, order=["timestamp", "event_id"], partitions=BY_DATE
+    ).drop("date")
 
 
 def forecast_input(spark, sf_dir):
@@ -284,33 +376,57 @@ def forecast_trend(spark, sf_dir):
 def forecast_stored(spark, sf_dir):
     """The forecast on a stored minute view: two weeks of folders, and older ones only for
     sensors that lack rows, appended to a table of predictions."""
-    path, target = work_folder(spark, "minutes"), work_folder(spark, "predictions")
-    tables.write_by_date(forecast_input(spark, sf_dir), path, "start_time")
-    view = spark.read.parquet(path)
-    since = view.agg(F.max("start_time")).scalar() - F.expr("INTERVAL 14 DAYS")
-    predictions = forecast.forecast_trend(view, since=since)
+    target = work_folder(spark, "predictions")
+    view = forecast_input(spark, sf_dir)
+    path, stored = dated(spark, view, "start_time")
+    known = written(keyed.sensors(stored), "sensors")
+    since = two_weeks_before(tables.newest_time(spark, path, "start_time"))
+    predictions = forecast.forecast_trend(stored, since=since, known=known, partitions=BY_DATE)
     tables.append_to(predictions, "parquet", {"path": target})
     return rounded(spark.read.parquet(target), forecast.PREDICTIONS, 6)
 
 
-def forecast_score(spark, sf_dir):
-    """The scorer with a user model: the least-squares line, for whole batches of vectors."""
-    def load_model():
-        # Nested, so that tasks get the function itself and need no package installed.
-        import numpy as np
+def short_sensors(spark, sf_dir):
+    """Minutes of a finer sensor, one per user and kind of event, most with few minutes; every
+    fifth reading has no load, so some minutes have none."""
+    rows = source.as_readings(source.events(spark, sf_dir), keep=["event_type"])
+    load = F.when(F.col("event_id") % 5 != 0, F.col("global_active_power"))
+    return minutes.speed_minutes(rows.withColumns({
+        "sensor_id": F.concat_ws("-", "sensor_id", "event_type"), "global_active_power": load,
+    }))
 
-        def predict(batch):
-            loads = batch[:, :, 0].astype(np.float64)
-            place = np.arange(-loads.shape[1], 0.0)
-            centred = place - place.mean()
-            slope = loads @ centred / (centred @ centred)
-            level = loads.mean(axis=1) - slope * place.mean()
-            return level[:, None] + slope[:, None] * np.arange(6.0)
 
-        return predict
+def forecast_short(spark, sf_dir):
+    view = short_sensors(spark, sf_dir)
+    return rounded(forecast.forecast_trend(view), forecast.PREDICTIONS, 9)
 
+
+def forecast_short_score(spark, sf_dir):
+    vectors = forecast.forecast_features(short_sensors(spark, sf_dir))
+    return rounded(forecast.forecast_score(vectors, line_model), forecast.PREDICTIONS, 6)
+
+
+def line_model():
+    """The least-squares line as a model for whole batches of vectors."""
+    # Nested, so that tasks get the function itself and need no package installed.
+    import numpy as np
+
+    def predict(batch):
+        loads = batch[:, :, 0].astype(np.float64)
+        place = np.arange(-loads.shape[1], 0.0)
+        centred = place - place.mean()
+        spread = centred @ centred
+        slope = loads @ centred / spread if spread else np.zeros(len(loads))
+        level = loads.mean(axis=1) - slope * place.mean()
+        return level[:, None] + slope[:, None] * np.arange(6.0)
+
+    return predict
+
+
+def forecast_score(spark, sf_dir):
+    """The scorer with a user model."""
     vectors = forecast.forecast_features(forecast_input(spark, sf_dir))
-    return rounded(forecast.forecast_score(vectors, load_model), forecast.PREDICTIONS, 6)
+    return rounded(forecast.forecast_score(vectors, line_model), forecast.PREDICTIONS, 6)
 
 
 def merged(spark, sf_dir):
@@ -325,6 +441,15 @@ def merged(spark, sf_dir):
     return rounded(merged_view(batch, speed, HORIZON), AVERAGES, 9)
 
 
+def merged_stored(spark, sf_dir):
+    """Stored layers: the batch layer has seen two of three micro-batches, the speed layer all."""
+    batch = stored_batches(spark, sliced_topic(spark, sf_dir, upto=2))
+    batch_store(spark, batch).fold(0)
+    speed, schema = stored_speed(spark, sliced_topic(spark, sf_dir))
+    view = merged_stored_view(spark, batch, speed, schema)
+    return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)
+
+
 QUERIES = {
     "parse_readings": parse_readings,
     "encode_readings": encode_messages,
@@ -341,6 +466,7 @@ QUERIES = {
     "stream_batch_minute": stream_batch_minute,
     "folded_batch_minute": folded_batch_minute,
     "stream_drop_repeats": stream_drop_repeats,
+    "stream_raw_once": stream_raw_once,
     "stream_raw_readings": stream_raw_readings,
     "dedupe_last_write": dedupe_last_write,
     "dedupe_sensor_day": dedupe_sensor_day,
@@ -360,5 +486,8 @@ QUERIES = {
     "forecast_trend": forecast_trend,
     "forecast_stored": forecast_stored,
     "forecast_score": forecast_score,
+    "forecast_short": forecast_short,
+    "forecast_short_score": forecast_short_score,
     "merged_view": merged,
+    "merged_stored": merged_stored,
 }

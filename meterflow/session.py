@@ -5,6 +5,8 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from meterflow.sources import files
+
 # Spark settings the jobs are designed for. Cluster-specific sizes (executors, memory,
 # shuffle partitions) stay with the submitter.
 SETTINGS = {
@@ -30,18 +32,33 @@ def build_session(app="meterflow", master=None, **settings):
     return builder.getOrCreate()
 
 
-def work_folder(spark, name):
-    """A new folder for a derived table or stream checkpoint.
+_roots = {}
+
+
+def session_folder(spark):
+    """The folder of this session's derived tables and stream progress; it goes when the
+    session's JVM ends.
 
     It lies under ``spark.checkpoint.dir``, which all executors share. Only a local session
     may fall back to a folder of this machine.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/meterflow/{name}-{uuid.uuid4().hex}"
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return tempfile.mkdtemp(prefix=f"meterflow-{name}-")
-    raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared:
+            root = f"{shared.rstrip('/')}/meterflow/{app}-{uuid.uuid4().hex}"
+        elif spark.conf.get("spark.master", "").startswith("local"):
+            root = tempfile.mkdtemp(prefix="meterflow-")
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        files.remove_at_exit(spark, root)
+        _roots[app] = root
+    return _roots[app]
+
+
+def work_folder(spark, name):
+    """A new folder for a derived table or stream checkpoint of this session."""
+    return f"{session_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(frame, name):

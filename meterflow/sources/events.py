@@ -15,8 +15,8 @@ def events_stream(spark, sf_dir):
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/event[s].parquet")
 
 
-def as_readings(rows):
-    """One reading per event, one sensor per user.
+def as_readings(rows, keep=()):
+    """One reading per event, one sensor per user; ``keep`` names columns to carry along.
 
     ``props`` always has the form {"k": number}; a pattern finds the number in a quarter of
     the time a JSON parse takes.
@@ -24,6 +24,7 @@ def as_readings(rows):
     k = F.regexp_extract("props", r'"k":\s*(-?\d+)', 1).try_cast("int")
     return rows.select(
         "event_id",
+        *keep,
         F.col("user_id").cast("int").alias("sensor_id"),
         F.unix_millis(F.col("ts").cast("timestamp")).alias("time"),
         F.col("ts").alias("timestamp"),

@@ -9,8 +9,12 @@ DAY_FIRST = "d/M/yyyy H:mm:ss"
 
 
 def read_history(spark, path, sep=","):
-    """Every column of the file as text, named by its header line."""
-    return spark.read.csv(path, header=True, sep=sep)
+    """Every column of the files as text, named by their header line.
+
+    All files of a folder need the same header; one that orders its columns differently ends the
+    job with its name, where positions alone would swap values.
+    """
+    return spark.read.csv(path, header=True, sep=sep, enforceSchema=False)
 
 
 def typed_history(text, fmt=DAY_FIRST, strict=False):
@@ -30,8 +34,14 @@ def typed_history(text, fmt=DAY_FIRST, strict=False):
 
 
 def import_history(text, fmt=DAY_FIRST, strict=False):
-    """Clean readings: a row with a null in any column is left out."""
-    return typed_history(text, fmt, strict).dropna("any")
+    """Clean readings: a row with a null in any column is left out.
+
+    The typed columns pass through an array of one struct, below which no filter is pushed, so
+    every text is parsed once and not again for the null check.
+    """
+    typed = typed_history(text, fmt, strict)
+    row = F.struct(*[F.col(f"`{c}`") for c in typed.columns])
+    return typed.select(F.inline(F.array(row))).dropna("any")
 
 
 def import_counts(text, fmt=DAY_FIRST):

@@ -1,14 +1,17 @@
 """Parquet tables partitioned by date, or by the five calendar columns."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from meterflow.functions.columns import calendar_parts
+from meterflow.functions.columns import calendar_parts, utc_day
 from meterflow.schema import CALENDAR
+from meterflow.sources import files as storage
 
 
 def write_by_date(rows, path, ts="timestamp", order=None, mode="append", files=None,
                   spread=("sensor_id",), keep_other_days=False):
-    """Append rows under one ``date`` folder per day, sorted within each file.
+    """Append rows under one ``date`` folder per day in UTC, sorted within each file.
 
     The rebalance puts the rows of a day together; adaptive execution splits a day that is
     too large for one task and joins small ones. Where there is no adaptive execution, give
@@ -17,7 +20,7 @@ def write_by_date(rows, path, ts="timestamp", order=None, mode="append", files=N
     of the file. With ``mode="overwrite"`` and ``keep_other_days`` only the days among the
     rows are replaced.
     """
-    dated = rows.withColumn("date", F.to_date(ts))
+    dated = rows.withColumn("date", utc_day(F.col(ts), rows.schema[ts].dataType))
     dated = dated.repartition(files, *spread) if files else dated.hint("rebalance", "date")
     (
         dated.sortWithinPartitions("date", *(order or [ts]))
@@ -33,13 +36,14 @@ def append_to(rows, fmt, options=None):
 
 
 def write_by_minute(rows, path, ts="timestamp", mode="append"):
-    """Append rows under year/month/day/hour/minute folders.
+    """Append rows under year/month/day/hour/minute folders, in UTC.
 
     This layout costs at least one file per minute; use it only where other readers expect
     it, and ``write_by_date`` otherwise.
     """
     parts = list(CALENDAR)
-    dated = rows.select("*", *calendar_parts(ts)).hint("rebalance", *parts)
+    kind = rows.schema[ts].dataType
+    dated = rows.select("*", *calendar_parts(ts, kind)).hint("rebalance", *parts)
     (
         dated.sortWithinPartitions(*parts)
         .write.mode(mode).partitionBy(*parts).parquet(path)
@@ -78,43 +82,79 @@ def repair_partitions(spark, name):
     spark.sql(f"MSCK REPAIR TABLE {name}")
 
 
+def partition_columns(spark, name):
+    """Names of the columns a catalog table is partitioned by."""
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
 def drop_before(spark, name, first_kept):
-    """Drop the ``date`` partitions of a catalog table before ``first_kept``.
+    """Drop the ``date`` partitions of a catalog table before ``first_kept``, files included, so
+    that looking for partitions does not bring them back.
 
     Only partition names come to the driver, one per day of the table.
     """
     days = [row.partition.split("=")[1] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()]
-    old = [f"PARTITION (date = '{day}')" for day in days if day < str(first_kept)]
+    old = [day for day in days if day < str(first_kept)]
     if old:
-        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(old)}")
+        facts = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+        location = facts.first().data_type
+        dropped = ", ".join(f"PARTITION (date = '{day}')" for day in old)
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {dropped}")
+        for day in old:
+            storage.remove(spark, f"{location}/date={day}")
     return len(old)
 
 
+def newest_day(spark, path):
+    """The newest ``date`` folder of a stored table as text, None if there is none: one listing,
+    no scan."""
+    days = [name.split("=")[1] for name in storage.folders(spark, path) if name.startswith("date=")]
+    return max((day for day in days if day[:1].isdigit()), default=None)
+
+
+def newest_time(spark, path, ts="timestamp"):
+    """The newest ``ts`` of a table stored by date, read from its newest day alone."""
+    day = newest_day(spark, path)
+    rows = spark.read.parquet(path)
+    if day is not None:
+        rows = rows.filter(F.col("date") == F.lit(day).cast("date"))
+    return rows.agg(F.max(ts)).first()[0]
+
+
+def stream_of(spark):
+    """The id of the stream whose micro-batch runs, which its checkpoint keeps for good."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+
+
 def batch_folder(root, ts="start_time", order=("start_time", "sensor_id"), rows_per_file=None):
-    """A ``foreachBatch`` function that keeps each micro-batch in a folder of its own.
+    """A ``foreachBatch`` function that keeps each micro-batch in a folder of its own, under the
+    id of its stream.
 
-    A micro-batch that is run again overwrites its own folder, so nothing counts twice.
+    A micro-batch that is run again overwrites its own folder, so nothing counts twice; another
+    stream, or one that starts anew with another checkpoint, adds folders.
 
     Give ``rows_per_file`` for a stateful stream. It has no adaptive execution, and one task
-    per state partition would write a small file each, while a fixed number of files would
-    not do for a backlog. So the rows are kept, counted, and spread over as many tasks as
-    they need.
+    per state partition would write a small file each, so its files are joined up to that size:
+    a task takes the rows of several state partitions, without counting them first.
     """
     def write(rows, batch_id):
-        folder = f"{root}/batch_id={batch_id}"
+        folder = f"{root}/stream={stream_of(rows.sparkSession)}/batch_id={batch_id}"
         if rows_per_file is None:
             write_by_date(rows, folder, ts, list(order), mode="overwrite")
             return
-        rows.persist()
-        try:
-            files = max(1, -(-rows.count() // rows_per_file))
-            write_by_date(rows, folder, ts, list(order), mode="overwrite", files=files)
-        finally:
-            rows.unpersist()
+        # Written as the state partitions give them, then joined where the sizes are known.
+        staged = f"{root}/_staged/{batch_id}-{uuid.uuid4().hex}"
+        spark = rows.sparkSession
+        rows.write.parquet(staged)
+        stored = spark.read.schema(rows.schema).parquet(staged)
+        files = max(1, -(-stored.count() // rows_per_file))
+        write_by_date(stored, folder, ts, list(order), mode="overwrite", files=files,
+                      spread=tuple(order))
+        storage.remove(spark, staged)
 
     return write
 
 
 def read_batches(spark, root, schema):
     """All rows written by ``batch_folder``, with ``batch_id`` and ``date``."""
-    return spark.read.schema(schema).parquet(root)
+    return spark.read.schema(schema).parquet(root).drop("stream")

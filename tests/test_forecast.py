@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from meterflow.operators.forecast import (
     PREDICTIONS, forecast_features, forecast_score, forecast_trend,
 )
+from meterflow.operators.ranges import BY_DATE
 from meterflow.sources import tables
 
 
@@ -18,13 +19,13 @@ def loads(spark):
 
 
 def test_features_are_the_newest_thirty_oldest_first(loads):
-    row = forecast_features(loads({1: range(50), 2: range(29)})).collect()
+    row = forecast_features(loads({1: range(50), 2: range(29)}), min_points=30).collect()
     assert [(r.sensor_id, r.last_time) for r in row] == [(1, 49)]
     assert row[0].features == [float(v) for v in range(20, 50)]
 
 
-def test_short_sensors_on_request(loads):
-    got = forecast_features(loads({1: range(50), 2: [1, 2]}), min_points=1).collect()
+def test_short_sensors_have_short_vectors(loads):
+    got = forecast_features(loads({1: range(50), 2: [1, 2]})).collect()
     assert {r.sensor_id: len(r.features) for r in got} == {1: 30, 2: 2}
 
 
@@ -49,7 +50,7 @@ def test_trend_is_never_negative(loads):
 
 
 def test_trend_of_a_single_point_is_flat(loads):
-    row = forecast_trend(loads({1: [4.0]}), min_points=1).first()
+    row = forecast_trend(loads({1: [4.0]})).first()
     assert [row[c] for c in PREDICTIONS] == [4.0] * 6
 
 
@@ -58,7 +59,7 @@ def test_scorer_calls_the_model_on_batches(loads):
         import numpy
 
         def predict(batch):
-            assert batch.dtype == numpy.float32 and batch.shape[1:] == (30, 1)
+            assert batch.dtype == numpy.float32 and batch.shape[1:] in ((30, 1), (5, 1))
             return batch[:, -1, :] * numpy.array([1, -1, 2, 3, 4, 5])
 
         return predict
@@ -68,9 +69,19 @@ def test_scorer_calls_the_model_on_batches(loads):
     assert [tuple(r) for r in got] == [
         (1, 123, 29.0, 0.0, 58.0, 87.0, 116.0, 145.0),
         (2, 123, 39.0, 0.0, 78.0, 117.0, 156.0, 195.0),
+        (3, 123, 4.0, 0.0, 8.0, 12.0, 16.0, 20.0),
     ]
 
 
+def test_minutes_without_a_load_do_not_count(spark, loads):
+    gap = F.when(F.col("start_time") % 3 != 1, F.col("avg_global_active_power"))
+    rows = loads({1: range(40), 2: range(2)}).withColumn("avg_global_active_power", gap)
+    features = {r.sensor_id: r.features for r in forecast_features(rows).collect()}
+    kept = [float(v) for v in range(40) if v % 3 != 1]
+    assert features == {1: kept[-30:], 2: [0.0]}
+    assert {r.sensor_id: r.prediction1 for r in forecast_trend(rows).collect()}[2] == 0.0
+
+
 def test_features_group_on_the_partitioning_of_the_window(loads, plan):
     text = plan(forecast_features(loads({1: range(40)})))
     assert text.count("Exchange") == 1
@@ -86,7 +97,7 @@ def test_since_prunes_folders_and_changes_no_forecast(spark, tmp_path, plan):
     tables.write_by_date(view.unionByName(silent), path, "start_time")
     stored = spark.read.parquet(path)
     since = F.lit("2023-11-20 00:00:00").cast("timestamp")
-    pruned = forecast_trend(stored, since=since)
+    pruned = forecast_trend(stored, since=since, partitions=BY_DATE)
     assert "PartitionFilters: [isnotnull(date" in plan(pruned)
     whole = forecast_trend(stored)
     assert sorted(map(tuple, pruned.collect())) == sorted(map(tuple, whole.collect()))

@@ -48,3 +48,20 @@ def test_further_columns_take_part_in_the_null_check(spark, tmp_path):
     text = read_history(spark, str(tmp_path), sep=";")
     assert [r.room for r in import_history(text).collect()] == ["hall"]
     assert typed_history(text).count() == 3
+
+
+def test_files_with_other_column_orders_are_refused_by_name(spark, tmp_path):
+    swapped = HEADER.replace("Voltage", "X").replace("Global_active_power", "Voltage").replace(
+        "X", "Global_active_power")
+    (tmp_path / "a.csv").write_text("\n".join([HEADER, LINES[0]]) + "\n")
+    (tmp_path / "b.csv").write_text("\n".join([swapped, LINES[4]]) + "\n")
+    with pytest.raises(Exception, match="(?s)CSV header.*\\.csv"):
+        import_history(read_history(spark, str(tmp_path), sep=";")).collect()
+
+
+def test_every_text_is_parsed_once(spark, folder, plan):
+    text = plan(import_history(read_history(spark, folder, sep=";")))
+    assert text.count("try_to_timestamp") <= 1 or text.count("gettimestamp") <= 1
+    assert "Generate inline" in text
+    before_generate = text.split("Generate inline")[1]
+    assert "isnotnull" not in before_generate.split("FileScan")[0]

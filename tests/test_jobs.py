@@ -26,10 +26,15 @@ def test_streams_then_reports_and_forecast(spark, tmp_path):
     source = put_topic(tmp_path / "topic")
     run(spark, "speed", *source, "--checkpoint", tmp_path / "c1", "--out", tmp_path / "live")
     assert spark.read.parquet(str(tmp_path / "live/raw")).count() == 2400
-    assert spark.read.parquet(str(tmp_path / "live/speed")).count() == 38
+    assert spark.read.parquet(str(tmp_path / "live/speed/batches")).count() == 38
     root, view = tmp_path / "batch", tmp_path / "view"
     run(spark, "batch", *source, "--checkpoint", tmp_path / "c2", "--out", root)
     run(spark, "fold", "--root", root, "--upto", 0)
+    run(spark, "fold", "--root", tmp_path / "live/speed", "--layer", "speed")
+    run(spark, "vacuum", "--root", root, "--grace", 0)
+    run(spark, "merged", "--batch", root, "--speed", tmp_path / "live/speed", "--out",
+        tmp_path / "merged")
+    assert spark.read.parquet(str(tmp_path / "merged")).count() == 38
     run(spark, "publish", "--root", root, "--out", view)
     assert spark.read.parquet(str(view)).count() == 40
     report = ["--path", view, "--start", "2023-11-14 22:20:00", "--out", tmp_path / "r"]
@@ -45,6 +50,9 @@ def test_streams_then_reports_and_forecast(spark, tmp_path):
     run(spark, "forecast", "--path", tmp_path / "sensors", "--out", tmp_path / "q",
         "--time", "start_time", "--value", "avg_global_active_power",
         "--since", "2023-11-14 22:20:00")
+    run(spark, "forecast", "--path", view, "--out", tmp_path / "m", "--model",
+        "meterflow.plans.registry:line_model")
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 1
     row = spark.read.parquet(str(tmp_path / "p")).first()
     assert spark.read.parquet(str(tmp_path / "q")).first().prediction6 == row.prediction6
     assert row.sensor_id == 1 and row.prediction6 == pytest.approx(4.0, abs=0.1)
@@ -67,17 +75,33 @@ def test_backfill_then_report_on_a_catalog_table(spark, tmp_path, layout, capfd)
         "--counts", *layout)
     name = f"history_{len(layout)}"
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    from meterflow.sources.tables import declare_table
-    parts = dict.fromkeys(["year", "month", "day", "hour", "minute"], "string")
-    declare_table(spark, name, str(tmp_path / "t"),
-                  {"timestamp": "timestamp", **dict.fromkeys(MEASURES, "double")},
-                  parts if layout else {"date": "date"})
-    run(spark, "voltage", "--table", name, "--repair", "--start", "2006-12-16 17:24:00")
+    run(spark, "declare", "--table", name, "--path", tmp_path / "t")
+    run(spark, "voltage", "--table", name, "--repair", "--start", "2006-12-16 17:24:00",
+        "--out", tmp_path / "r", "--show", 5)
     assert "234.8" in capfd.readouterr().out
+    assert spark.read.parquet(str(tmp_path / "r")).first().voltage == 234.8
+    if not layout:
+        run(spark, "expire", "--table", name, "--before", "2006-12-17")
+        assert spark.table(name).count() == 0 and not (tmp_path / "t/date=2006-12-16").exists()
+
+
+def test_send_readings_to_a_topic(spark, tmp_path, make_readings):
+    readings = make_readings([(7, 1.0, 2.0)]).selectExpr("*", "unix_millis(timestamp) as time")
+    readings.write.parquet(str(tmp_path / "r"))
+    run(spark, "send", "--path", tmp_path / "r", "--sink", "parquet", "--sink-option",
+        f"path={tmp_path / 'topic'}")
+    sent = spark.read.parquet(str(tmp_path / "topic")).first()
+    assert sent.key == b"7" and json.loads(sent.value)["time"] == 1000
+
+
+def test_results_are_stored_and_not_only_printed():
+    with pytest.raises(SystemExit):
+        parser().parse_args(["voltage", "--path", "x", "--start", "2006-12-16 17:24:00"])
 
 
 def test_bad_arguments(spark, tmp_path):
     with pytest.raises(SystemExit):
         parser().parse_args(["voltage", "--start", "2006-12-16 17:24:00"])
     with pytest.raises(ValueError):
-        run(spark, "voltage", "--path", "/root/testdata/sf0.001/events.parquet", "--start", "never")
+        run(spark, "voltage", "--path", "/root/testdata/sf0.001/events.parquet", "--start", "never",
+            "--out", tmp_path / "r")

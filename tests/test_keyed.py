@@ -31,11 +31,11 @@ def brute(rows, n):
     groups = {}
     for sensor, t, event in rows:
         groups.setdefault(sensor, []).append((t, event))
-    return sorted(
+    return sorted((
         (sensor, t, event, place)
         for sensor, items in groups.items()
         for place, (t, event) in enumerate(sorted(items, reverse=True)[:n], 1)
-    )
+    ), key=lambda row: (row[0] is None, row))
 
 
 @pytest.mark.parametrize("salts", [1, 3, 16])
@@ -57,12 +57,12 @@ def test_latest_n_limits_groups_inside_map_tasks(spark, plan):
 @pytest.mark.parametrize("since", [0, 15, 30, 39, 100])
 def test_latest_n_since_gives_the_same_rows(spark, tmp_path, since):
     rng = random.Random(3)
-    rows = [(rng.choice([1, 1, 1, 2, 3, 4]), rng.randrange(40), i) for i in range(200)]
+    rows = [(rng.choice([1, 1, 1, 2, 3, None]), rng.randrange(40), i) for i in range(200)]
     path = str(tmp_path / "rows")
     spark.createDataFrame(rows, "sensor_id int, t int, event int").write.parquet(path)
     frame = spark.read.parquet(path)
     got = latest_n_since(frame, 12, F.lit(since), sensors(frame), order=["t", "event"])
-    assert sorted(map(tuple, got.collect())) == brute(rows, 12)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(brute(rows, 12), key=repr)
 
 
 def test_latest_n_since_leaves_the_older_scan_out(spark, tmp_path, plan):
@@ -74,7 +74,9 @@ def test_latest_n_since_leaves_the_older_scan_out(spark, tmp_path, plan):
         assert "BroadcastHashJoin" in plan(got)
         got.collect()
         final = plan(got).split("Initial Plan")[0]
-        assert final.count("FileScan") - final.count("unfinished-") == scans, final
+        # Rows are read with their time; the list of unfinished keys has none.
+        reads = [line for line in final.splitlines() if "FileScan" in line and "t#" in line]
+        assert len(reads) == scans, final
 
 
 def test_retention_is_exclusive_at_the_edge(spark):

@@ -3,7 +3,8 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from meterflow.operators.ranges import range_of, time_range
+from meterflow.operators.keyed import retain_recent
+from meterflow.operators.ranges import BY_DATE, BY_MINUTE, between, range_of, time_range
 from meterflow.plans import reports
 from meterflow.plans.serving import merged_view
 from meterflow.sources import tables
@@ -58,12 +59,13 @@ def test_date_layout_prunes_folders_and_pushes_the_range(spark, table, tmp_path,
     path = str(tmp_path / "t")
     tables.write_by_date(table, path)
     stored = spark.read.parquet(path)
-    got = time_range(stored, *range_of("2024-01-11 00:00:00", "2024-01-11 00:03:00"))
+    got = time_range(stored, *range_of("2024-01-11 00:00:00", "2024-01-11 00:03:00"),
+                     partitions=BY_DATE)
     text = plan(got)
     assert "PartitionFilters: [isnotnull(date" in text and "GreaterThanOrEqual(timestamp" in text
     assert sorted(minutes(got)) == [1440, 1441, 1442]
     assert len(got.inputFiles()) >= 1
-    report = reports.voltage_range(stored, "2024-01-11 23:58:00")
+    report = reports.voltage_range(stored, "2024-01-11 23:58:00", partitions=BY_DATE)
     assert sorted(minutes(report)) == [2878, 2879, 2880, 2881, 2882]
     assert "ReadSchema: struct<timestamp:timestamp_ntz,voltage:double>" in plan(report)
 
@@ -75,7 +77,7 @@ def test_calendar_layout_keeps_zeros_and_prunes(spark, table, tmp_path, plan):
     stored = tables.read_by_minute(spark, path, columns)
     assert {r.month for r in stored.select("month").collect()} == {"01"}
     for frame in (stored, spark.read.parquet(path)):
-        got = reports.voltage_range(frame, "2024-01-10 23:58:00")
+        got = reports.voltage_range(frame, "2024-01-10 23:58:00", partitions=BY_MINUTE)
         assert sorted(minutes(got)) == [1438, 1439, 1440, 1441, 1442]
         assert "PartitionFilters: []" not in plan(got)
     assert (tmp_path / "t/year=2024/month=01/day=11/hour=00/minute=05").is_dir()
@@ -90,7 +92,65 @@ def test_catalog_table_repair_and_drop(spark, table, tmp_path):
     stored = spark.table("readings_by_date")
     assert stored.count() == 4001
     assert tables.drop_before(spark, "readings_by_date", "2024-01-12") == 2
-    assert spark.table("readings_by_date").agg(F.min("date").cast("string")).first()[0] == "2024-01-12"
+    tables.repair_partitions(spark, "readings_by_date")
+    kept = spark.table("readings_by_date")
+    assert kept.agg(F.min("date").cast("string")).first()[0] == "2024-01-12"
+    assert kept.count() == 4001 - 2 * 1440
+    assert tables.partition_columns(spark, "readings_by_date") == ["date"]
+
+
+def test_recent_rows_of_a_dated_table_read_its_newest_days(spark, table, tmp_path, plan):
+    path = str(tmp_path / "t")
+    tables.write_by_date(table, path)
+    assert tables.newest_day(spark, path) == "2024-01-12"
+    newest = tables.newest_time(spark, path)
+    assert newest == table.agg(F.max("timestamp")).first()[0]
+    stored = spark.read.parquet(path)
+    got = retain_recent(stored, 3600, newest, partitions=BY_DATE)
+    assert "PartitionFilters: [isnotnull(date" in plan(got)
+    assert sorted(minutes(got)) == list(range(3941, 4001))
+
+
+def test_a_column_that_is_merely_called_date(table):
+    odd = table.withColumn("date", F.lit("2001-01-01").cast("date"))
+    assert reports.voltage_range(odd, "2024-01-10 00:00:00", 1).count() == 1
+
+
+@pytest.mark.parametrize("bounds", [
+    ("2024-01-10T02:00:00+02:00", "2024-01-10T02:01:00+02:00"),
+    ("2024-01-10T00:00:00Z", "2024-01-10T00:01:00Z"), ("2024-01-10 00:00:00", "2024-01-10 00:01"),
+])
+def test_offsets_of_bounds_are_converted(table, bounds):
+    assert time_range(table, *range_of(*bounds)).count() == 1
+    instants = table.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    assert time_range(instants, *range_of(*bounds)).count() == 1
+
+
+def test_one_bound_with_an_offset_is_an_error():
+    with pytest.raises(ValueError, match="offset"):
+        range_of("2024-01-10 00:00:00", "2024-01-10T00:01:00Z")
+
+
+def test_days_do_not_depend_on_the_session_zone(spark, table, tmp_path):
+    path = str(tmp_path / "t")
+    instants = table.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    tables.write_by_date(instants, path)
+    bounds = range_of("2024-01-10T22:30:00Z", "2024-01-10T22:31:00Z")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Bucharest")
+    try:
+        stored = spark.read.parquet(path)
+        assert time_range(stored, *bounds, partitions=BY_DATE).count() == 1
+        other = str(tmp_path / "other")
+        tables.write_by_date(stored.drop("date"), other)
+        assert spark.read.parquet(other).groupBy("date").count().exceptAll(
+            stored.groupBy("date").count()).count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_unknown_partitions_are_an_error(table):
+    with pytest.raises(ValueError):
+        between(table, partitions="hour")
 
 
 def test_catalog_table_over_the_calendar_layout(spark, table, tmp_path):
