@@ -36,7 +36,7 @@ from meterflow.session import written
 # Words in the lexicon at most; it goes to every executor.
 LEXICON_WORDS = 200_000
 # Pieces a worker keeps: encoded ones, and counted ones before they go on.
-KEPT_PIECES = 400_000
+KEPT_PIECES = 800_000
 # Symbols of a word beyond which it is merged with a heap and its ids are not kept.
 LONG = 200
 END = "</w>"
@@ -166,31 +166,41 @@ class Tokenizer:
 
 class Encoder(dict):
     """Pieces of text to their ids as bytes; a piece is looked up or merged once and kept for a
-    while, as a piece and as the words in it."""
+    while, as a piece and as the words in it.
+
+    When half of the room is full, what was kept before goes, and what is asked for again moves
+    on; so frequent pieces stay.
+    """
 
     def __init__(self, tokenizer, lexicon, kept=KEPT_PIECES):
         super().__init__()
-        self.tokenizer, self.lexicon, self.kept = tokenizer, lexicon, kept
-        self.known = {}
+        self.tokenizer, self.lexicon, self.half = tokenizer, lexicon, max(1, kept // 2)
+        self.older, self.known, self.older_known = {}, {}, {}
 
     def _ids(self, word):
         ids = self.known.get(word)
         if ids is None:
-            if len(self.known) >= self.kept // 2:
-                self.known.clear()
-            numbers = self.lexicon.get(word.encode()) if self.lexicon else None
-            if numbers is None:
-                numbers = self.tokenizer.merge(word)
-            self.known[word] = ids = struct.pack(f"<{len(numbers)}I", *numbers)
+            if len(self.known) >= self.half // 2:
+                self.known, self.older_known = {}, self.known
+            ids = self.older_known.get(word)
+            if ids is None:
+                numbers = self.lexicon.get(word.encode()) if self.lexicon else None
+                if numbers is None:
+                    numbers = self.tokenizer.merge(word)
+                ids = struct.pack(f"<{len(numbers)}I", *numbers)
+            self.known[word] = ids
         return ids
 
     def __missing__(self, piece):
-        if piece in self.tokenizer.special:
-            ids = struct.pack("<I", self.tokenizer.special[piece])
-        else:
-            ids = b"".join([self._ids(word) for word in self.tokenizer.words(piece)])
+        ids = self.older.get(piece)
+        if ids is None:
+            if piece in self.tokenizer.special:
+                ids = struct.pack("<I", self.tokenizer.special[piece])
+            else:
+                ids = b"".join([self._ids(word) for word in self.tokenizer.words(piece)])
         if len(piece) <= LONG:
-            if len(self) >= self.kept:
+            if len(self) >= self.half:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids

@@ -15,6 +15,8 @@ import struct
 import numpy as np
 
 SINGLE = [bytes([byte]) for byte in range(256)]
+# Where the first letters of words lead is kept, for so many beginnings.
+FIRST, KEPT_FIRSTS, MISSING = 4, 50_000, object()
 
 
 def compile_words(outputs, path):
@@ -86,21 +88,35 @@ class Transducer:
             at += 4 * length
         self.starts, self.targets, self.skips, self.output_starts, self.outputs = parts
         self.labels, self.ends = at, at + transitions
+        self.find, self.firsts = self.file.find, {}
 
     def __len__(self):
         return self.words
 
-    def get(self, word):
-        """The numbers of a word, or None if it is not among the compiled ones."""
-        find, starts, labels = self.file.find, self.starts, self.labels
-        targets, skips, state, place = self.targets, self.skips, self.root, 0
-        for label in word:
+    def _walk(self, state, place, letters):
+        """(state, place) behind the letters, or None if there is no such path."""
+        find, starts, labels = self.find, self.starts, self.labels
+        targets, skips = self.targets, self.skips
+        for label in letters:
             found = find(SINGLE[label], labels + starts[state], labels + starts[state + 1])
             if found < 0:
                 return None
             found -= labels
             place += skips[found]
             state = targets[found]
-        if not self.file[self.ends + state]:
+        return state, place
+
+    def get(self, word):
+        """The numbers of a word, or None if it is not among the compiled ones."""
+        first = word[:FIRST]
+        at = self.firsts.get(first, MISSING)
+        if at is MISSING:
+            at = self._walk(self.root, 0, first)
+            if len(self.firsts) < KEPT_FIRSTS:
+                self.firsts[first] = at
+        if at is not None and len(word) > FIRST:
+            at = self._walk(*at, word[FIRST:])
+        if at is None or not self.file[self.ends + at[0]]:
             return None
+        place = at[1]
         return self.outputs[self.output_starts[place]:self.output_starts[place + 1]].tolist()
