@@ -35,7 +35,7 @@ address article aside blockquote body center dd details dialog dir div dl dt fie
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html li main menu nav ol p pre section
 summary table tbody tfoot thead title tr ul caption
 """.split())
-SPACES = frozenset("br td th wbr".split()) - {"wbr"}
+SPACES = frozenset(("br", "td", "th"))
 VOID = frozenset("""
 area base br col embed hr img input link meta param source track wbr
 """.split())
@@ -51,6 +51,7 @@ subscription signup popup modal overlay share sharing social related recommended
 widget toolbar login search searchbox comment comments commentlist disqus replies respond
 discussion copyright pagination pager header contentinfo complementary alert dialog form
 """.split())
+LAYOUT = frozenset("has with no without hide".split())
 COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond discussion".split())
 
 MARKUP = re.compile(
@@ -74,7 +75,11 @@ def _names(attributes):
     if "=" not in attributes:
         return frozenset()
     found = " ".join("".join(groups) for groups in NAMED.findall(attributes))
-    return frozenset(word.lower() for word in WORDS.findall(found))
+    words = [word.lower() for word in WORDS.findall(found)]
+    # "has-sidebar" or "no-menu" tells of a page's layout, not of the element.
+    return frozenset(
+        word for before, word in zip(["", *words], words) if before not in LAYOUT
+    )
 
 
 class _Page:
@@ -118,7 +123,7 @@ class _Page:
             comments = comments or bool(words & COMMENT_WORDS)
             named = bool(words & SKIPPED_WORDS) or bool(HIDDEN.search(attributes))
             if name in ("article", "main") and not comments:
-                article, skipped = True, False
+                article = article or not skipped
             elif name == "header":
                 skipped = True
             elif name in HEADINGS and article and self.stack[-1][0] == "header" and not named:

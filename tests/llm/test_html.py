@@ -19,6 +19,10 @@ PAGES = {
     "<p>end": "kept\n\nend",
     "<article><p>one</p><p title='a > b'>two</p><!-- <p>no</p> --><p>three</p": "one\n\ntwo\n\nthree",
     "<main><article class='comment'><p>no</p></article><p>yes</p></main>": "yes",
+    "<aside><article><p>teaser</p></article></aside><article><header><h1>T</h1><p>by me</p></header>"
+    "<p>body</p><div class='related'><article><p>other</p></article></div></article>": "T\n\nbody",
+    "<body class='no-sidebar'><div class='page has-sidebar'><article class='main-menu'><p>in</p>"
+    "</article></div><div id='cookie-notice'><p>We use cookies</p></div>": "in",
     "plain text only": "plain text only",
     "": "", "<p>": "", "<": "<", "<article": "", "<!-- open": "",
 }
