@@ -13,7 +13,7 @@ from meterflow.plans.serving import (
     stored_sensor_view,
 )
 from meterflow.schema import BATCH_VIEW, BOUNDS, MEASURES, SPEED_VIEW
-from meterflow.session import work_folder, written
+from meterflow.session import session_folder, work_folder, written
 from meterflow.sources import events as source
 from meterflow.sources import history, tables
 from meterflow.sources.messages import read_messages
@@ -255,16 +255,31 @@ def dedupe_sensor_day(spark, sf_dir):
     return keyed.dedupe_last_write(rows, ["sensor_id", "day"], ["event_id"])
 
 
-def dated(spark, rows, ts="timestamp"):
-    """The rows as a table by date: its path and a frame that reads it."""
-    path = work_folder(spark, "dated")
-    tables.write_by_date(rows, path, ts)
-    return path, spark.read.parquet(path)
+_dated = {}
+
+
+def dated(spark, sf_dir, name="readings", rows=source.readings, ts="timestamp"):
+    """Derived rows as a table by date, kept for the session: its path and a frame that reads it."""
+    key = (session_folder(spark), sf_dir, name)
+    if key not in _dated:
+        path = work_folder(spark, name)
+        tables.write_by_date(rows(spark, sf_dir), path, ts)
+        _dated[key] = path
+    return _dated[key], spark.read.parquet(_dated[key])
+
+
+def sensor_table(spark, sf_dir, name, rows):
+    """The kept dimension of all sensors of a derived table."""
+    key = (session_folder(spark), sf_dir, f"{name}-sensors")
+    if key not in _dated:
+        _dated[key] = work_folder(spark, f"{name}-sensors")
+        keyed.sensors(rows).write.parquet(_dated[key])
+    return spark.read.parquet(_dated[key])
 
 
 def retained(spark, sf_dir, seconds):
     """On a table by date; only its newest days are read."""
-    path, rows = dated(spark, source.readings(spark, sf_dir))
+    path, rows = dated(spark, sf_dir)
     newest = tables.newest_time(spark, path)
     return keyed.retain_recent(rows, seconds, newest, partitions=BY_DATE).drop("date")
 
@@ -325,7 +340,7 @@ def calendar_layout(spark, sf_dir):
 
 
 def pruned_range(spark, sf_dir):
-    _, rows = dated(spark, source.readings(spark, sf_dir))
+    _, rows = dated(spark, sf_dir)
     return time_range(rows, *range_of(START, END), partitions=BY_DATE).drop("date")
 
 
@@ -340,15 +355,19 @@ def two_weeks_before(newest):
     return F.lit(newest) - F.expr("INTERVAL 14 DAYS")
 
 
-def latest_n_since(spark, sf_dir):
-    """The same rows, on a table by date and with a null sensor; older rows are read only for
-    sensors with few rows in the last two weeks, which the stored sensor dimension names."""
-    rows = source.readings(spark, sf_dir).select(
+def nameless(spark, sf_dir):
+    """Loads with a null sensor in place of every 97th id."""
+    return source.readings(spark, sf_dir).select(
         F.when(F.col("sensor_id") % 97 != 0, F.col("sensor_id")).alias("sensor_id"),
         "timestamp", "event_id", "global_active_power",
     )
-    known = written(keyed.sensors(rows), "sensors")
-    path, stored = dated(spark, rows)
+
+
+def latest_n_since(spark, sf_dir):
+    """The same rows, on a table by date and with a null sensor; older rows are read only for
+    sensors with few rows in the last two weeks, which the stored sensor dimension names."""
+    path, stored = dated(spark, sf_dir, "nameless", nameless)
+    known = sensor_table(spark, sf_dir, "nameless", stored)
     since = two_weeks_before(tables.newest_time(spark, path))
     return keyed.latest_n_since(
         stored, 30, since, known, order=["timestamp", "event_id"], partitions=BY_DATE
@@ -377,9 +396,8 @@ def forecast_stored(spark, sf_dir):
     """The forecast on a stored minute view: two weeks of folders, and older ones only for
     sensors that lack rows, appended to a table of predictions."""
     target = work_folder(spark, "predictions")
-    view = forecast_input(spark, sf_dir)
-    path, stored = dated(spark, view, "start_time")
-    known = written(keyed.sensors(stored), "sensors")
+    path, stored = dated(spark, sf_dir, "minutes", forecast_input, "start_time")
+    known = sensor_table(spark, sf_dir, "minutes", stored)
     since = two_weeks_before(tables.newest_time(spark, path, "start_time"))
     predictions = forecast.forecast_trend(stored, since=since, known=known, partitions=BY_DATE)
     tables.append_to(predictions, "parquet", {"path": target})
