@@ -2,7 +2,30 @@
 
 from meterflow.operators.forecast import PREDICTIONS
 from meterflow.plans.registry import END, START
-from meterflow.schema import BATCH_VIEW, BOUNDS, CALENDAR, MEASURES, SPEED_VIEW
+
+# Fixed values, written out here so that a wrong list in the engine does not pass unseen.
+MEASURES = [
+    "global_active_power", "global_reactive_power", "voltage", "global_intensity",
+    "sub_metering_1", "sub_metering_2", "sub_metering_3",
+]
+SPEED_COLUMNS = """round(avg(global_active_power), 9) AS avg_global_active_power,
+      max(global_active_power) AS max_global_active_power,
+      min(global_active_power) AS min_global_active_power,
+      round(avg(global_reactive_power), 9) AS avg_global_reactive_power,
+      round(avg(voltage), 9) AS avg_voltage, max(voltage) AS max_voltage,
+      round(avg(global_intensity), 9) AS avg_global_intensity,
+      sum(sub_metering_1) AS total_sub_metering_1, sum(sub_metering_2) AS total_sub_metering_2,
+      sum(sub_metering_3) AS total_sub_metering_3"""
+BATCH_COLUMNS = """round(avg(global_active_power), 9) AS global_active_power,
+      round(avg(global_reactive_power), 9) AS global_reactive_power,
+      round(avg(voltage), 9) AS voltage, round(avg(global_intensity), 9) AS global_intensity,
+      sum(sub_metering_1) AS sub_metering_1, sum(sub_metering_2) AS sub_metering_2,
+      sum(sub_metering_3) AS sub_metering_3"""
+LIMITS = {
+    "global_active_power": (0.08, 10.7), "global_reactive_power": (0.0, 1.15),
+    "voltage": (223.0, 251.0), "global_intensity": (0.4, 46.4), "sub_metering_1": (0.0, 78.0),
+    "sub_metering_2": (0.0, 78.0), "sub_metering_3": (0.0, 20.0),
+}
 
 READINGS = """readings AS (
   SELECT event_id, user_id::INT AS sensor_id, epoch_us(ts) // 1000 AS "time", ts AS "timestamp",
@@ -17,33 +40,25 @@ READINGS = """readings AS (
 
 WITH = f"WITH {READINGS}"
 ALL = ", ".join(MEASURES)
-STRFTIME = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M"}
+PARTS = {"year": "%Y", "month": "%m", "day": "%d", "hour": "%H", "minute": "%M"}
 RANGE = f"\"timestamp\" >= TIMESTAMP '{START}' AND \"timestamp\" < TIMESTAMP '{END}'"
 
 
-def _aggregates(view):
-    def one(name, fn, measure):
-        call = f"{fn}({measure})"
-        return f"round({call}, 9) AS {name}" if fn == "avg" else f"{call} AS {name}"
-
-    return ", ".join(one(*column) for column in view)
-
-
 def _speed(unit="minute", rows="readings"):
     return f"""SELECT sensor_id, start_time, start_time + INTERVAL 1 {unit} AS end_time,
-      {_aggregates(SPEED_VIEW)}
+      {SPEED_COLUMNS}
     FROM (SELECT *, date_trunc('{unit}', "timestamp")::TIMESTAMP AS start_time FROM {rows})
     GROUP BY sensor_id, start_time"""
 
 
 def _batch(unit="minute"):
-    return f"""SELECT unit_start AS "timestamp", {_aggregates(BATCH_VIEW)}
+    return f"""SELECT unit_start AS "timestamp", {BATCH_COLUMNS}
     FROM (SELECT *, date_trunc('{unit}', "timestamp")::TIMESTAMP AS unit_start FROM readings)
     GROUP BY unit_start"""
 
 
 CALENDAR_PARTS = ", ".join(
-    f"strftime(\"timestamp\", '{STRFTIME[fmt]}') AS \"{name}\"" for name, fmt in CALENDAR.items()
+    f"strftime(\"timestamp\", '{fmt}') AS \"{name}\"" for name, fmt in PARTS.items()
 )
 
 MILLISECONDS = f"""SELECT event_id, sensor_id, "time",
@@ -141,7 +156,7 @@ ORACLE = {
         FROM readings""",
     "clamp_readings": f"{WITH} SELECT event_id, "
         + ", ".join(f"least(greatest({m}, {lo}::DOUBLE), {hi}::DOUBLE) AS {m}"
-                    for m, (lo, hi) in BOUNDS.items())
+                    for m, (lo, hi) in LIMITS.items())
         + " FROM readings",
     "speed_minute": f"{WITH} {_speed()}",
     "speed_day": f"{WITH} {_speed('day')}",
