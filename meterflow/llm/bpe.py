@@ -36,7 +36,7 @@ from meterflow.session import written
 # Words in the lexicon at most; it goes to every executor.
 LEXICON_WORDS = 200_000
 # Pieces a worker keeps: encoded ones, and counted ones before they go on.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 500_000
 # Symbols of a word beyond which it is merged with a heap and its ids are not kept.
 LONG = 200
 END = "</w>"
