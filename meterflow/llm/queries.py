@@ -43,8 +43,7 @@ def near(spark, sf_dir):
 
 def scored(spark, sf_dir):
     return lm_score.score_documents(
-        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"),
-        public_tokenizers.PATTERN,
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")
     )
 
 
