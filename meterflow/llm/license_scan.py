@@ -5,19 +5,30 @@ the template occurs. Words that occur once in both are anchors; their longest in
 subsequence is kept, and the gaps between two anchors are aligned in the same way, where other
 words may be unique. A gap without such words gives what its ends have in common. Coverage is the
 share of the template's words that are aligned; a match has ``COVERAGE`` of them, and three
-quarters of the text's words from the first to the last aligned one are among them. Of overlapping matches the
-one with the higher coverage stays, then the one with more words, then the first name.
+quarters of the text's words from the first to the last aligned one are among them. Words that
+tell licenses apart, their names and version numbers, all have to be aligned, and a match holds no
+such word of another license ("Lesser", "Affero", "NonCommercial", ...). Where notices follow each
+other, the words around make none unique; there the alignment is tried at the template's own
+extent. Of overlapping matches the one with more aligned words stays, less the missing ones and
+those between, then the one with the higher coverage, then the first name.
 
-Case, punctuation and line breaks do not count; positions are code points, the end exclusive.
+The full texts of licenses lie in ``licenses``. They are aligned where five words in a row occur
+that the full text has once.
+
+Case, punctuation, line breaks, and a "v" or ".0" of a number do not count; positions are code
+points, the end exclusive.
 
 Defined cases: null counts as the empty text, which has no match. A license line that occurs
 several times is found each time. Texts are scanned whole. Repeated rows each get their row. An
 empty table gives no rows. Other columns may have any name.
 """
 
+import pkgutil
 import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
+from functools import lru_cache
+from itertools import product
 
 import pandas as pd
 
@@ -70,37 +81,150 @@ TEMPLATES = [
         or neighboring rights to this work."""),
     ("unlicense", "This is free and unencumbered software released into the public domain."),
     ("all-rights-reserved", "All rights reserved."),
+    ("bsd", "Released under the BSD License."),
+    ("bsd", "Licensed under the BSD License."),
+    ("bsd-2-clause", """Redistribution and use in source and binary forms, with or without
+        modification, are permitted provided that the following conditions are met: 1.
+        Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce
+        the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution."""),
+    ("bsd-3-clause", """Redistribution and use in source and binary forms, with or without
+        modification, are permitted provided that the following conditions are met: 1.
+        Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce
+        the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. 3. Neither the name of
+        the copyright holder nor the names of its contributors may be used to endorse or promote
+        products derived from this software without specific prior written permission."""),
+    ("lgpl-2.1", """This library is free software; you can redistribute it and/or modify it under
+        the terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation; either version 2.1 of the License, or (at your option) any later version."""),
+    ("lgpl-3.0", """This program is free software: you can redistribute it and/or modify it under
+        the terms of the GNU Lesser General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("agpl-3.0", """This program is free software: you can redistribute it and/or modify it under
+        the terms of the GNU Affero General Public License as published by the Free Software
+        Foundation, either version 3 of the License, or (at your option) any later version."""),
+    ("agpl-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("epl-1.0", """All rights reserved. This program and the accompanying materials are made
+        available under the terms of the Eclipse Public License v1.0 which accompanies this
+        distribution, and is available at http://www.eclipse.org/legal/epl-v10.html"""),
+    ("epl-2.0", """This program and the accompanying materials are made available under the terms of
+        the Eclipse Public License 2.0 which is available at
+        https://www.eclipse.org/legal/epl-2.0/"""),
+    ("epl-1.0", """Eclipse Public License - v 1.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE
+        TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT"). ANY USE, REPRODUCTION OR DISTRIBUTION OF
+        THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT."""),
+    ("epl-2.0", """Eclipse Public License - v 2.0 THE ACCOMPANYING PROGRAM IS PROVIDED UNDER THE
+        TERMS OF THIS ECLIPSE PUBLIC LICENSE ("AGREEMENT"). ANY USE, REPRODUCTION OR DISTRIBUTION OF
+        THE PROGRAM CONSTITUTES RECIPIENT'S ACCEPTANCE OF THIS AGREEMENT."""),
 ]
+for _name, _title, _versions in (
+    ("apache", "Apache License", ("2.0",)), ("mpl", "Mozilla Public License", ("1.1", "2.0")),
+    ("gpl", "GNU General Public License", ("2.0", "3.0")),
+    ("lgpl", "GNU Lesser General Public License", ("2.1", "3.0")),
+    ("agpl", "GNU Affero General Public License", ("3.0",)),
+    ("epl", "Eclipse Public License", ("1.0", "2.0")),
+):
+    TEMPLATES.append((_name, f"Licensed under the {_title}."))
+    for _version in _versions:
+        TEMPLATES += [
+            (f"{_name}-{_version}", f"Licensed under the {_title} {_version}."),
+            (f"{_name}-{_version}", f"This work is licensed under the {_title}, version {_version}."),
+        ]
+_NC = ("NonCommercial", "Non-Commercial")
+_SA = ("ShareAlike", "Share Alike")
+_ND = ("NoDerivatives", "NoDerivs", "No Derivatives")
+for _version, (_name, _parts) in product(("4.0", "3.0"), (
+    ("by", ()), ("by-nc", (_NC,)), ("by-sa", (_SA,)), ("by-nd", (_ND,)), ("by-nc-sa", (_NC, _SA)),
+    ("by-nc-nd", (_NC, _ND)),
+)):
+    TEMPLATES.append((f"cc-{_name}-{_version}", f"Licensed under CC {_name} {_version}."))
+    for _words in product(*_parts):
+        TEMPLATES.append((f"cc-{_name}-{_version}", "This work is licensed under a Creative Commons "
+                          f"{'-'.join(('Attribution', *_words))} {_version} International License."))
+FULL = ("apache-2.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mpl-2.0", "cc0-1.0")
+
+# Words that tell licenses apart beside numbers, and those of them that make another
+# license of one they are added to.
+NAMES = frozenset("""
+apache mit bsd isc gnu general mozilla eclipse cc creative cc0 neither endorse
+""".split())
+ADDED = frozenset("""
+lesser affero documentation nc sa nd noncommercial commercial sharealike alike noderivatives
+noderivs derivatives derivs
+""".split())
+# Of a full text, only the title tells.
+TITLE, SHINGLE, LONG = 8, 5, 300
 
 # Words that tell of a license, at least one of them in every template.
 TELLING = frozenset("""
 license licensed licenses reserved granted redistribution redistribute mozilla copyright
-unencumbered permission cc mit apache
+unencumbered permission cc mit apache bsd eclipse
 """.split())
 SIGNS = (b"licen", b"reserved", b"granted", b"redistribut", b"copyright", b"unencumbered",
          b"permission")
 
 WORD = re.compile(r"[A-Za-z0-9]+(?:\.[0-9]+)*", re.ASCII)
+NUMBER = re.compile(r"v?([0-9]+(?:\.[1-9][0-9]*)*)(?:\.0)*", re.ASCII)
+
+
+def _plain(word):
+    number = NUMBER.fullmatch(word) if word[-1].isdigit() else None
+    return number[1] if number else word
 
 
 def words_of(text):
     """(words in lower case, their spans)."""
     found = list(WORD.finditer(text))
-    return [m[0].lower() for m in found], [m.span() for m in found]
+    return [_plain(m[0].lower()) for m in found], [m.span() for m in found]
 
 
 class Template:
     def __init__(self, name, text):
         self.name, self.words = name, words_of(text)[0]
         self.slack = max(4, len(self.words) // 4)
-        self.telling = defaultdict(list)
+        self.telling, self.shingles = defaultdict(list), {}
+        self.title = TITLE if len(self.words) > LONG else len(self.words)
+        self.required = {word for word in self.words[:self.title]
+                         if word in NAMES or word in ADDED or NUMBER.fullmatch(word)}
+        if len(self.words) > LONG:
+            rows = [tuple(self.words[i:i + SHINGLE]) for i in range(len(self.words) - SHINGLE + 1)]
+            once = Counter(rows)
+            self.shingles = {row: i for i, row in enumerate(rows) if once[row] == 1}
+            return
         for place, word in enumerate(self.words):
             if word in TELLING:
                 self.telling[word].append(place)
 
+    def match(self, words, start, end, coverage):
+        """(aligned words less missing and added ones, coverage, first, last) in a stretch of a
+        text's words, or None."""
+        pairs = align(words, self.words, max(0, start), min(len(words), end))
+        share = len(pairs) / len(self.words)
+        if share < coverage:
+            return None
+        first, last = pairs[0][0], pairs[-1][0]
+        aligned = {i for i, _ in pairs}
+        if (len(pairs) < DENSITY * (last - first + 1)
+                or not self.required <= {words[i] for i in aligned}
+                or any(words[i] in ADDED and i not in aligned
+                       for i in range(first, min(last + 1, first + self.title + self.slack
+                                                 if self.title < len(self.words) else last + 1)))):
+            return None
+        missing, more = len(self.words) - len(pairs), last - first + 1 - len(pairs)
+        return len(pairs) - missing - more, share, first, last
+
 
-def templates(pairs=TEMPLATES):
-    return [Template(name, text) for name, text in pairs]
+@lru_cache(maxsize=1)
+def _full():
+    return [(name, pkgutil.get_data("meterflow.llm", f"licenses/{name}.txt").decode())
+            for name in FULL]
+
+
+def templates(pairs=None):
+    return [Template(name, text) for name, text in (TEMPLATES + _full() if pairs is None else pairs)]
 
 
 def rising(pairs):
@@ -155,26 +279,40 @@ def matches(text, known, coverage=COVERAGE):
     if not any(sign in low for sign in SIGNS):
         return []
     words, spans = words_of(text)
-    found, seen = [], set()
-    for place, word in enumerate(words):
-        if word not in TELLING:
+    different = set(words)
+    possible = [template for template in known if template.required <= different]
+    found = []
+
+    def add(template, match):
+        if match:
+            number, share, first, last = match
+            found.append((-number, -share, template.name, first, last))
+
+    telling = [(place, word) for place, word in enumerate(words) if word in TELLING]
+    rows = None
+    for template in possible:
+        size, slack, seen = len(template.words), template.slack, set()
+        if template.shingles:
+            if rows is None:
+                rows = list(zip(*[words[i:] for i in range(SHINGLE)]))
+            for place, row in enumerate(rows):
+                at = template.shingles.get(row)
+                if at is None or (place - at) // (slack // 2) in seen:
+                    continue
+                seen.add((place - at) // (slack // 2))
+                add(template, template.match(words, place - at - slack, place - at + size + slack,
+                                             coverage))
             continue
-        for number, template in enumerate(known):
+        for place, word in telling:
             for at in template.telling.get(word, ()):
-                start = max(0, place - at - template.slack)
-                end = min(len(words), place - at + len(template.words) + template.slack)
-                if (number, start) in seen:
-                    continue
-                seen.add((number, start))
-                pairs = align(words, template.words, start, end)
-                share = len(pairs) / len(template.words)
-                if share < coverage:
+                start = place - at
+                if start in seen:
                     continue
-                first, last = pairs[0][0], pairs[-1][0]
-                if len(pairs) >= DENSITY * (last - first + 1):
-                    found.append((-share, -len(pairs), template.name, first, last))
+                seen.add(start)
+                add(template, template.match(words, start - slack, start + size + slack, coverage)
+                    or template.match(words, start, start + size, coverage))
     taken, kept = bytearray(len(words)), []
-    for share, _, name, first, last in sorted(found):
+    for _, share, name, first, last in sorted(found):
         if not any(taken[first:last + 1]):
             taken[first:last + 1] = b"\1" * (last + 1 - first)
             kept.append((name, spans[first][0], spans[last][1], -share))

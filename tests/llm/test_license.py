@@ -65,3 +65,35 @@ def test_documents(make_docs, awkward, empty):
     assert found[1].coverage == 1.0 and found[2].matches == ""
     assert license_scan.scan_documents(awkward).count() == len(AWKWARD)
     assert license_scan.scan_documents(empty).count() == 0
+
+
+@pytest.mark.parametrize("text, names", [
+    ("Released under the BSD License.", ["bsd"]),
+    ("Licensed under the Apache License.", ["apache"]),
+    ("Licensed under the Apache License v2.0", ["apache-2.0"]),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
+     "License.", ["cc-by-nc-4.0"]),
+    ("This work is licensed under a Creative Commons Attribution-Share Alike 3.0 Unported License.",
+     ["cc-by-sa-3.0"]),
+    ("This work is licensed under the GNU Lesser General Public License, version 3.", ["lgpl-3.0"]),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", ["agpl-3.0"]),
+    ("This work is licensed under the GNU Free Documentation License, version 3.", []),
+    ("Licensed under the Eclipse Public License 2.0", ["epl-2.0"]),
+    ("Released under the MIT License. " * 5, ["mit"] * 5),
+    ("Licensed under CC BY 4.0. " * 4, ["cc-by-4.0"] * 4),
+])
+def test_names_of_other_licenses(text, names):
+    assert [m[0] for m in matches(text, KNOWN)] == names
+
+
+def test_full_texts():
+    for name, text in license_scan._full():
+        half = len(text) // 2
+        for made in (text, text.replace("work", "job", 3), text[:half] + " one more " + text[half:]):
+            found = matches(f"A readme of a program. {made} The end of it.", KNOWN)
+            assert [m[0] for m in found] == [name]
+            assert found[0][2] - found[0][1] > 0.95 * len(text.strip())
+    affero = dict(license_scan._full())["gpl-3.0"].replace(
+        "GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
+    affero = affero.replace("29 June", "19 November", 1)
+    assert "gpl-3.0" not in [m[0] for m in matches(affero, KNOWN)][:1]
