@@ -1,8 +1,9 @@
 """Secret scans: fixed patterns, and strings that are new to a dictionary-primed compressor.
 
 Three kinds of spans come from patterns: ``assign``, ``access`` and ``hex``. Beside them, every
-string of twelve or more characters that follows a sensitive word within one line is a
-candidate. A zstandard compressor is primed with a dictionary of identifiers and compresses the
+string of twelve or more characters that begins within ``REACH`` characters behind a sensitive
+word, white space not counted, on whatever line, is a candidate; so is every one of a PEM block up
+to its end, and of a YAML block value. A zstandard compressor is primed with a dictionary of identifiers and compresses the
 code around with the candidate and without it; the bytes that it adds, over its length, are its
 novelty. What hardly shrinks is reported as ``novel``; identifiers, paths and words that the
 surroundings or the dictionary hold shrink to a few bytes. A candidate that touches a pattern's
@@ -65,7 +66,9 @@ ANNOUNCED = re.compile(
     "(?i:" + "|".join(map(re.escape, sorted(SENSITIVE, key=len, reverse=True))) + ")", re.ASCII
 )
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{12,}")
-CLASSES = [re.compile(p) for p in ("[a-z]", "[A-Z]", "[0-9]")]
+NEAR = re.compile(r"(?:\s*+\S){0,%d}" % REACH)
+BLOCK = re.compile(r"""["']?[ \t]*:[ \t]*[|>][-+0-9]*[ \t\r]*\n((?:[ \t]+[^\n]*(?:\n|\Z)|\r?\n)+)""")
+PEM_LINES = re.compile(r"[^\n]*(?:\n[A-Za-z0-9+/=:,\x20\t\r-]*)*")
 HEX_OR_NOT = bytes(49 if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 HEX_RUN = b"1" * HEX_LEAST
 
@@ -103,24 +106,39 @@ def novelty(candidate, before, after):
     return (len(compress((before + candidate + after).encode())) - without) / len(candidate)
 
 
+def _reach(text, word):
+    """Where the last candidate behind a sensitive word may begin."""
+    end = word.end()
+    if word[0].lower() == "-----begin":
+        closed = text.find("-----END", end)
+        opened = text.find("-----BEGIN", end)
+        if closed >= 0 and not 0 <= opened < closed:
+            return closed
+        return PEM_LINES.match(text, end).end()
+    near, block = NEAR.match(text, end).end(), BLOCK.match(text, end)
+    return max(near, block.end(1)) if block else near
+
+
 def novel_spans(text, low, taken, threshold=NOVELTY):
     """Spans of incompressible strings behind sensitive words."""
     if not any(word in low for word in SENSITIVE_BYTES):
         return []
-    spans, done = [], 0
+    spans, done, ahead = [], 0, -1
     for word in ANNOUNCED.finditer(text):
-        line_end = text.find("\n", word.end())
-        reach = min(len(text) if line_end < 0 else line_end, word.end() + REACH)
-        for found in CANDIDATE.finditer(text, max(word.start(), done)):
+        start, reach = max(word.start(), done), _reach(text, word)
+        # The next candidate is known to begin behind the reach.
+        if start <= ahead and reach < ahead:
+            continue
+        ahead = len(text) + 1
+        for found in CANDIDATE.finditer(text, start):
             start, end = found.span()
             if start > reach:
+                ahead = start
                 break
             done = end
             if any(start < b and a < end for _, a, b in taken):
                 continue
             string = found[0]
-            if sum(1 for c in CLASSES if c.search(string)) < 2 or not CLASSES[2].search(string):
-                continue
             before, after = text[max(0, start - AROUND):start], text[end:end + AROUND]
             if novelty(string, before, after) >= threshold:
                 spans.append(("novel", start, end))

@@ -62,6 +62,34 @@ def test_novelty_of_random_and_known_strings():
     assert secrets_scan.novelty("refresh_token_response", around, around) < 0.5
 
 
+def key(length, letters=string.ascii_letters + string.digits, seed=3):
+    rng = random.Random(seed)
+    return "".join(rng.choice(letters) for _ in range(length))
+
+
+def test_secrets_on_other_lines():
+    body = [key(64, seed=i) for i in range(6)] + [key(30, seed=9)]
+    for end in ("-----END RSA PRIVATE KEY-----\nand prose", ""):
+        text = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(body) + "\n" + end
+        assert [text[a:b] for _, a, b in secrets_scan.scan(text)[1]] == body
+    yaml = f"a:\n  secret: |\n    {body[0]}\n    {body[1]}\n  b: c\n"
+    assert [yaml[a:b] for _, a, b in secrets_scan.scan(yaml)[1]] == body[:2]
+    for text in (f'{{"api_key":\n    "{body[6]}"}}', f"token:\r\n{' ' * 200}{body[6]}"):
+        assert [text[a:b] for _, a, b in secrets_scan.scan(text)[1]] == body[6:]
+
+
+def test_secrets_of_one_kind_of_character():
+    for letters in (string.ascii_letters, string.ascii_lowercase, string.digits):
+        text = f"the api-key is {key(14, letters)} they said"
+        assert secrets_scan.scan(text)[1] == [("novel", 15, 29)]
+    for word in ("configuration", "implementation", "authentication"):
+        assert secrets_scan.scan(f"a basic {word} of it")[1] == []
+
+
+def test_sensitive_words_without_candidates_take_linear_time():
+    assert secrets_scan.scan("token of a " * 100_000)[1] == []
+
+
 def test_documents(make_docs, awkward, empty):
     texts = list(CASES)
     found = secrets_scan.scan_documents(make_docs(list(enumerate(texts)))).collect()
