@@ -56,8 +56,9 @@ COMMENT_WORDS = frozenset("comment comments commentlist disqus replies respond d
 
 MARKUP = re.compile(
     r"""<!--.*?(?:-->|\Z)
-    |<(?P<raw>script|style|textarea|title|iframe|svg|object|math|canvas|audio|video)
-        \b[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)
+    |<(?P<empty>svg|math)(?=[\s/>])(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>
+    |<(?P<raw>script|style|textarea|title|iframe|svg|object|canvas|audio|video)
+        (?=[\s/>])[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)
     |<(?P<close>/?)(?P<name>[a-z][a-z0-9:-]*)
         (?P<attributes>(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+(?:>|\Z))
     |<[!?/][^>]*+(?:>|\Z)""",

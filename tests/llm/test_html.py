@@ -33,6 +33,19 @@ def test_pages(page):
     assert main_text(page) == PAGES[page]
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><p>a <svg-icon></svg-icon>b</p><p>c</p></article>", "a b\n\nc"),
+    ("<article><p>a<video-player src=x></video-player><title-bar>t</title-bar><object-view/>b",
+     "atb"),
+    ("<article><p>a <svg width='1' title='x>y'/>b</p><p>c</p></article>", "a b\n\nc"),
+    ("<article><p>a <svg><path d=''/><text>no</text></svg>b</p></article>", "a b"),
+    ("<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be</p></article>", "Let x=2 be"),
+    ("<article><p>a <math class='ad'/>b</p><p>c</p></article>", "a b\n\nc"),
+])
+def test_names_that_begin_like_skipped_elements(page, text):
+    assert main_text(page) == text
+
+
 def test_density_without_marked_article():
     lines = [(f"menu {i}", False, False, 6) for i in range(8)]
     lines += [("Title", False, False, 0)] + [(STORY, False, False, 0)] * 3
