@@ -4,6 +4,7 @@ import public_tokenizers
 
 from meterflow.llm import (
     bpe,
+    byte_bpe,
     exact_dedup,
     html_extract,
     license_scan,
@@ -65,6 +66,12 @@ def encoded(spark, sf_dir):
     )
 
 
+def byte_encoded(spark, sf_dir):
+    return byte_bpe.encode_digests(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
+
+
 def toxic(spark, sf_dir):
     return toxicity.score_documents(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
@@ -80,6 +87,7 @@ QUERIES = {
     "op8_html": pages,
     "op9_bpe": encoded,
     "op10_toxicity": toxic,
+    "op13_byte_bpe": byte_encoded,
 }
 
 LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

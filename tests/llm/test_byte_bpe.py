@@ -1,0 +1,109 @@
+import base64
+from hashlib import sha256
+
+import public_tokenizers
+import pytest
+import tiktoken
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from meterflow.llm import byte_bpe
+
+from .conftest import AWKWARD, LONG
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+with open(PATH, "rb") as lines:
+    RANKS = {base64.b64decode(t): int(r) for t, r in map(bytes.split, lines)}
+LIBRARY = tiktoken.Encoding(
+    "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
+)
+OURS = byte_bpe.Vocabulary(PATH)
+TEXTS = ["", " ", "  ", "a", "it's we'll I've he'd they're I'm don't 'street", "''s 's's 'lll 'LL",
+         " 's x 'sx'", "a  b\n\nc \n d\t\te", "end  ", "\n", "  x　 y", "x\x1c\x1f\x85z",
+         "abc123 456!? --- #1", "\U0001F600 é ß 漢字 ١٢٣ ½", "A" * 3000 + " " * 500, "a\0b\0", "ab" * 900,
+         "don'", "'", "'r", "'v e", "x'", LONG]
+
+
+def same(texts):
+    for text, (ids, offsets) in zip(texts, byte_bpe.encoded_texts(OURS, texts), strict=True):
+        wanted = LIBRARY.encode_ordinary(text)
+        assert ids.tolist() == wanted
+        assert OURS.decode(ids) == text.encode()
+        data = text.encode()
+        ends = [*offsets.tolist()[1:], len(data)]
+        assert [data[a:b] for a, b in zip(offsets.tolist(), ends)] == [
+            OURS.tokens[i] for i in wanted]
+
+
+def test_same_as_the_library():
+    same(TEXTS)
+
+
+def test_classes_of_all_code_points():
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    table = byte_bpe.classes()
+    for pattern, kinds in ((r"\p{L}", [byte_bpe.LETTER]), (r"\p{N}", [byte_bpe.NUMBER]),
+                           (r"\s", [byte_bpe.BLANK, byte_bpe.SPACE])):
+        one = tiktoken.Encoding("x", pat_str=pattern, special_tokens={},
+                                mergeable_ranks={bytes([i]): i for i in range(256)})
+        found = {ord(c) for c in bytes(one.encode_ordinary(every)).decode()}
+        assert found == {c for c in map(ord, every) if table[c] in kinds}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.sampled_from(list("ab'stmdrvel 1!\n\t é漢\0")), max_size=40),
+                max_size=6))
+def test_same_as_the_library_for_any_mixture(texts):
+    same(texts)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(st.characters(codec="utf-8"), max_size=60))
+def test_same_as_the_library_for_any_text(text):
+    same([text])
+
+
+@pytest.mark.parametrize("block", [1, 2, 3, 7, 200])
+def test_blocks_do_not_change_the_pieces(block):
+    def pieces(block):
+        found = [[] for _ in TEXTS[:-1]]
+        for number, some, _ in byte_bpe.slices(TEXTS[:-1], block):
+            found[number] += some
+        return found
+
+    assert pieces(block) == pieces(1 << 19)
+
+
+def test_scan_over_more_than_one_level():
+    text = "it's 12 a  b\n'lll " * 3000
+    same([text])
+
+
+def test_bounded_cache():
+    few = byte_bpe.Vocabulary(PATH, kept=2)
+    for _, pieces, _ in byte_bpe.slices([TEXTS[4]]):
+        assert few.encode(pieces).tolist() == LIBRARY.encode_ordinary(TEXTS[4])
+    assert len(few) <= 2
+
+
+def wanted(text):
+    ids = LIBRARY.encode_ordinary(text or "")
+    return (len(ids), sha256(" ".join(map(str, ids)).encode()).hexdigest(),
+            sha256((text or "").encode()).hexdigest())
+
+
+def test_documents(awkward, empty):
+    found = byte_bpe.encode_digests(awkward, PATH).collect()
+    assert sorted((r[0] or 0, *r[1:]) for r in found) == sorted(
+        (r[0] or 0, *wanted(r[1])) for r in AWKWARD)
+    assert byte_bpe.encode_digests(empty, PATH).count() == 0
+
+
+def test_round_trip_columns(make_docs):
+    docs = make_docs([(1, "hello wörld"), (2, None)])
+    rows = {r.doc_id: r for r in byte_bpe.decode(byte_bpe.encode(docs, PATH), PATH).collect()}
+    assert bytes(rows[1].decoded).decode() == "hello wörld" and bytes(rows[2].decoded) == b""
+    assert rows[1].encoded.ids == LIBRARY.encode_ordinary("hello wörld")
+    tokens = LIBRARY.decode_tokens_bytes(rows[1].encoded.ids)
+    assert rows[1].encoded.offsets == [sum(map(len, tokens[:i])) for i in range(len(tokens))]
+    assert rows[1].half == "own half"
