@@ -83,7 +83,13 @@ def test_bounded_cache():
     few = byte_bpe.Vocabulary(PATH, kept=2)
     for _, pieces, _ in byte_bpe.slices([TEXTS[4]]):
         assert few.encode(pieces).tolist() == LIBRARY.encode_ordinary(TEXTS[4])
-    assert len(few) <= 2
+    assert len(few) <= 2 and len(few.older) <= 2
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(min_size=1, max_size=40) | st.text("abel ", min_size=1).map(str.encode))
+def test_both_ways_to_merge(piece):
+    assert OURS.merge_few(piece) == OURS.merge_many(piece)
 
 
 def wanted(text):
