@@ -14,6 +14,7 @@ from meterflow.llm import (
     secrets_scan,
     simhash,
     toxicity,
+    turns,
 )
 
 
@@ -66,6 +67,10 @@ def encoded(spark, sf_dir):
     )
 
 
+def conversations(spark, sf_dir):
+    return turns.repair(table(spark, sf_dir, "conversations"))
+
+
 def byte_encoded(spark, sf_dir):
     return byte_bpe.encode_digests(
         documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -87,6 +92,7 @@ QUERIES = {
     "op8_html": pages,
     "op9_bpe": encoded,
     "op10_toxicity": toxic,
+    "op12_conversations": conversations,
     "op13_byte_bpe": byte_encoded,
 }
 
