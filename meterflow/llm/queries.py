@@ -15,6 +15,7 @@ from meterflow.llm import (
     simhash,
     toxicity,
     turns,
+    whitening,
 )
 
 
@@ -67,6 +68,10 @@ def encoded(spark, sf_dir):
     )
 
 
+def whitened(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def conversations(spark, sf_dir):
     return turns.repair(table(spark, sf_dir, "conversations"))
 
@@ -92,6 +97,7 @@ QUERIES = {
     "op8_html": pages,
     "op9_bpe": encoded,
     "op10_toxicity": toxic,
+    "op11_whitening": whitened,
     "op12_conversations": conversations,
     "op13_byte_bpe": byte_encoded,
 }
