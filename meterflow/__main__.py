@@ -13,7 +13,6 @@ from meterflow.schema import CALENDAR
 from meterflow.session import build_session
 from meterflow.sources import history, tables
 from meterflow.sources.messages import encode_readings, parse_readings, read_messages
-from meterflow.sources.stores import batch_store, speed_store
 from meterflow.streaming import jobs
 
 
@@ -61,22 +60,6 @@ def speed_schema(spark):
     return speed_minutes(nothing).schema
 
 
-def store(spark, args):
-    if args.layer == "batch":
-        return batch_store(spark, args.root)
-    return speed_store(spark, args.root, speed_schema(spark))
-
-
-def run_fold(spark, args):
-    """Fewer files for the batch layer or the speed layer."""
-    store(spark, args).fold(args.upto)
-
-
-def run_vacuum(spark, args):
-    """Remove what folds have made superfluous."""
-    print(store(spark, args).vacuum(args.grace))
-
-
 def run_merged(spark, args):
     """One view over both stored layers."""
     view = serving.merged_stored_view(
@@ -234,15 +217,6 @@ def parser():
     batch = command("batch", run_batch, stream)
     batch.add_argument("--out", required=True)
     batch.add_argument("--every", default="1 minute")
-    layer = argparse.ArgumentParser(add_help=False)
-    layer.add_argument("--root", required=True, help="folder of the layer")
-    layer.add_argument("--layer", choices=["batch", "speed"], default="batch")
-    fold = command("fold", run_fold, layer)
-    fold.add_argument("--upto", type=int, help="last micro-batch to fold; all finished ones if "
-                                               "left out")
-    vacuum = command("vacuum", run_vacuum, layer)
-    vacuum.add_argument("--grace", type=int, default=3600,
-                        help="seconds that reads may take; younger folders stay")
     merged = command("merged", run_merged)
     merged.add_argument("--batch", required=True, help="folder of the batch layer")
     merged.add_argument("--speed", required=True, help="folder of the speed layer")

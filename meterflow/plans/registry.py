@@ -9,15 +9,15 @@ from meterflow.plans import reports
 from meterflow.plans.serving import (
     merged_stored_view,
     merged_view,
+    publish_batch_view,
     stored_batch_view,
-    stored_sensor_view,
 )
 from meterflow.schema import BATCH_VIEW, BOUNDS, MEASURES, SPEED_VIEW
-from meterflow.session import session_folder, work_folder, written
+from meterflow.session import work_folder, written
 from meterflow.sources import events as source
 from meterflow.sources import history, tables
 from meterflow.sources.messages import read_messages
-from meterflow.sources.stores import batch_store, speed_store
+from meterflow.sources.stores import read_store
 from meterflow.streaming import jobs
 
 # Range of the reports: four whole weeks inside the month the events cover.
@@ -185,11 +185,10 @@ def stored_speed(spark, live):
 
 
 def stream_speed_minute(spark, sf_dir):
-    """Three micro-batches, the first two folded."""
+    """Three micro-batches."""
     root, schema = stored_speed(spark, sliced_topic(spark, sf_dir))
-    store = speed_store(spark, root, schema)
-    store.fold(1)
-    return rounded(naive(store.read().drop("date"), "start_time", "end_time"), AVERAGES, 9)
+    stored = read_store(spark, root, schema).drop("date")
+    return rounded(naive(stored, "start_time", "end_time"), AVERAGES, 9)
 
 
 def stored_batches(spark, live):
@@ -206,14 +205,10 @@ def stream_batch_minute(spark, sf_dir):
 
 
 def folded_batch_minute(spark, sf_dir):
-    """The same view with the first two micro-batches, then the first three, folded by day, and
-    what the folds made superfluous removed."""
-    root = stored_batches(spark, live_topic(spark, sf_dir, 4))
-    store = batch_store(spark, root)
-    for upto in (1, 2):
-        store.fold(upto)
-    store.vacuum(grace_seconds=0)
-    view = stored_sensor_view(spark, root)
+    """The same micro-batches merged into a plain table by date, one row per sensor and minute."""
+    root, path = stored_batches(spark, live_topic(spark, sf_dir, 4)), work_folder(spark, "view")
+    publish_batch_view(spark, root, path, by_sensor=True)
+    view = spark.read.parquet(path).drop("date")
     return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)
 
 
@@ -255,26 +250,16 @@ def dedupe_sensor_day(spark, sf_dir):
     return keyed.dedupe_last_write(rows, ["sensor_id", "day"], ["event_id"])
 
 
-_dated = {}
-
-
 def dated(spark, sf_dir, name="readings", rows=source.readings, ts="timestamp"):
-    """Derived rows as a table by date, kept for the session: its path and a frame that reads it."""
-    key = (session_folder(spark), sf_dir, name)
-    if key not in _dated:
-        path = work_folder(spark, name)
-        tables.write_by_date(rows(spark, sf_dir), path, ts)
-        _dated[key] = path
-    return _dated[key], spark.read.parquet(_dated[key])
+    """Derived rows as a table by date: its path and a frame that reads it."""
+    path = work_folder(spark, name)
+    tables.write_by_date(rows(spark, sf_dir), path, ts)
+    return path, spark.read.parquet(path)
 
 
-def sensor_table(spark, sf_dir, name, rows):
-    """The kept dimension of all sensors of a derived table."""
-    key = (session_folder(spark), sf_dir, f"{name}-sensors")
-    if key not in _dated:
-        _dated[key] = work_folder(spark, f"{name}-sensors")
-        keyed.sensors(rows).write.parquet(_dated[key])
-    return spark.read.parquet(_dated[key])
+def sensor_table(spark, name, rows):
+    """The dimension of all sensors of a derived table, stored."""
+    return written(keyed.sensors(rows), f"{name}-sensors")
 
 
 def retained(spark, sf_dir, seconds):
@@ -367,7 +352,7 @@ def latest_n_since(spark, sf_dir):
     """The same rows, on a table by date and with a null sensor; older rows are read only for
     sensors with few rows in the last two weeks, which the stored sensor dimension names."""
     path, stored = dated(spark, sf_dir, "nameless", nameless)
-    known = sensor_table(spark, sf_dir, "nameless", stored)
+    known = sensor_table(spark, "nameless", stored)
     since = two_weeks_before(tables.newest_time(spark, path))
     return keyed.latest_n_since(
         stored, 30, since, known, order=["timestamp", "event_id"], partitions=BY_DATE
@@ -397,7 +382,7 @@ def forecast_stored(spark, sf_dir):
     sensors that lack rows, appended to a table of predictions."""
     target = work_folder(spark, "predictions")
     path, stored = dated(spark, sf_dir, "minutes", forecast_input, "start_time")
-    known = sensor_table(spark, sf_dir, "minutes", stored)
+    known = sensor_table(spark, "minutes", stored)
     since = two_weeks_before(tables.newest_time(spark, path, "start_time"))
     predictions = forecast.forecast_trend(stored, since=since, known=known, partitions=BY_DATE)
     tables.append_to(predictions, "parquet", {"path": target})
@@ -462,7 +447,6 @@ def merged(spark, sf_dir):
 def merged_stored(spark, sf_dir):
     """Stored layers: the batch layer has seen two of three micro-batches, the speed layer all."""
     batch = stored_batches(spark, sliced_topic(spark, sf_dir, upto=2))
-    batch_store(spark, batch).fold(0)
     speed, schema = stored_speed(spark, sliced_topic(spark, sf_dir))
     view = merged_stored_view(spark, batch, speed, schema)
     return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)

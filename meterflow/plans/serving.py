@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from meterflow.operators.minutes import batch_from_partials, speed_from_partials
 from meterflow.operators.ranges import BY_DATE, between, range_of, time_literal, time_range
-from meterflow.sources.stores import batch_store, speed_store
+from meterflow.sources.stores import read_partials, read_store
 from meterflow.sources.tables import write_by_date
 
 
 def stored_partials(spark, root, start=None, end=None):
     """Partials of the batch layer; with a range, only its date folders are read."""
-    partials = batch_store(spark, root).read()
+    partials = read_partials(spark, root)
     if start is None and end is None:
         return partials
     return time_range(partials, *range_of(start, end), ts="start_time", partitions=BY_DATE)
@@ -62,7 +62,7 @@ def batch_horizon(spark, root, delay="1 minute"):
     That is ``delay`` before the newest window it has seen: readings arrive at most so late. Only
     the newest day is read. None for a store without rows.
     """
-    rows = batch_store(spark, root).read()
+    rows = read_partials(spark, root)
     newest = rows.agg(F.max("date")).first()[0]
     if newest is None:
         return None
@@ -73,13 +73,12 @@ def batch_horizon(spark, root, delay="1 minute"):
 def merged_stored_view(spark, batch_root, speed_root, schema, delay="1 minute"):
     """One view over the stored layers: the batch layer up to its horizon, the speed layer from
     there on. ``schema`` is that of the speed view."""
-    speed = speed_store(spark, speed_root, schema).read()
+    speed = read_store(spark, speed_root, schema)
     horizon = batch_horizon(spark, batch_root, delay)
     if horizon is None:
         return speed.drop("date")
     partials = between(
-        batch_store(spark, batch_root).read(), high=F.lit(horizon), ts="start_time",
-        partitions=BY_DATE,
+        read_partials(spark, batch_root), high=F.lit(horizon), ts="start_time", partitions=BY_DATE
     )
     live = between(speed, F.lit(horizon), ts="start_time", partitions=BY_DATE).drop("date")
     return speed_from_partials(partials).unionByName(live)

@@ -1,7 +1,5 @@
 """Parquet tables partitioned by date, or by the five calendar columns."""
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from meterflow.functions.columns import calendar_parts, utc_day
@@ -43,7 +41,8 @@ def write_by_minute(rows, path, ts="timestamp", mode="append"):
     """
     parts = list(CALENDAR)
     kind = rows.schema[ts].dataType
-    dated = rows.select("*", *calendar_parts(ts, kind)).hint("rebalance", *parts)
+    # A task takes a whole day: with a folder for each minute, committing files is the cost.
+    dated = rows.select("*", *calendar_parts(ts, kind)).hint("rebalance", *parts[:3])
     (
         dated.sortWithinPartitions(*parts)
         .write.mode(mode).partitionBy(*parts).parquet(path)
@@ -119,42 +118,3 @@ def newest_time(spark, path, ts="timestamp"):
     if day is not None:
         rows = rows.filter(F.col("date") == F.lit(day).cast("date"))
     return rows.agg(F.max(ts)).first()[0]
-
-
-def stream_of(spark):
-    """The id of the stream whose micro-batch runs, which its checkpoint keeps for good."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
-
-
-def batch_folder(root, ts="start_time", order=("start_time", "sensor_id"), rows_per_file=None):
-    """A ``foreachBatch`` function that keeps each micro-batch in a folder of its own, under the
-    id of its stream.
-
-    A micro-batch that is run again overwrites its own folder, so nothing counts twice; another
-    stream, or one that starts anew with another checkpoint, adds folders.
-
-    Give ``rows_per_file`` for a stateful stream. It has no adaptive execution, and one task
-    per state partition would write a small file each, so its files are joined up to that size:
-    a task takes the rows of several state partitions, without counting them first.
-    """
-    def write(rows, batch_id):
-        folder = f"{root}/stream={stream_of(rows.sparkSession)}/batch_id={batch_id}"
-        if rows_per_file is None:
-            write_by_date(rows, folder, ts, list(order), mode="overwrite")
-            return
-        # Written as the state partitions give them, then joined where the sizes are known.
-        staged = f"{root}/_staged/{batch_id}-{uuid.uuid4().hex}"
-        spark = rows.sparkSession
-        rows.write.parquet(staged)
-        stored = spark.read.schema(rows.schema).parquet(staged)
-        files = max(1, -(-stored.count() // rows_per_file))
-        write_by_date(stored, folder, ts, list(order), mode="overwrite", files=files,
-                      spread=tuple(order))
-        storage.remove(spark, staged)
-
-    return write
-
-
-def read_batches(spark, root, schema):
-    """All rows written by ``batch_folder``, with ``batch_id`` and ``date``."""
-    return spark.read.schema(schema).parquet(root).drop("stream")

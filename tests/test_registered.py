@@ -1,4 +1,6 @@
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -46,3 +48,34 @@ def test_reports_read_only_their_columns(spark, plan):
     high, voltage = (plan(queries()[n](spark, SMALL)) for n in ("high_power", "voltage_range"))
     assert "ReadSchema: struct<ts:timestamp_ntz,value:double>" in high
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts" in voltage
+
+
+def entry_without(*blocked):
+    """Names of the queries of an entry that cannot import some modules."""
+    code = "import sys\n" + "".join(f"sys.modules[{name!r}] = None\n" for name in blocked)
+    code += "from __spark_entry__ import queries, oracle_sql\n"
+    code += "print(*sorted(queries()), '|', *sorted(oracle_sql()))"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
+    assert not done.returncode, done.stderr
+    return [names.split() for names in done.stdout.split("|")]
+
+
+@pytest.mark.parametrize("blocked", ["public_tokenizers", "corpus_pipeline", "meterflow.llm"])
+def test_the_other_queries_stay_without_the_text_operators(blocked):
+    names, sql = entry_without(blocked)
+    assert set(names) == set(sql) == set(QUERIES)
+
+
+@pytest.mark.parametrize("name", [
+    "retain_300s", "pruned_range", "retain_recent", "latest_n_since", "forecast_stored"])
+def test_changed_tables_change_the_result(spark, tmp_path, name):
+    """A derived table of an earlier run does not answer for the tables as they are now."""
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    path = str(tmp_path / "events.parquet")
+    events.write.parquet(path)
+    before = queries()[name](spark, str(tmp_path)).count()
+    first = events.orderBy("event_id").limit(20).cache()
+    first.count()
+    first.write.mode("overwrite").parquet(path)
+    assert queries()[name](spark, str(tmp_path)).count() <= min(before, 20)
