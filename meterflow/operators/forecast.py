@@ -88,6 +88,26 @@ def forecast_trend(minutes, ts="start_time", value="avg_global_active_power",
     )
 
 
+def windowed_trend(minutes, ts, value, size):
+    """The built-in model over a whole history: for every sensor and window with values, the line
+    through them, carried on from the window's end, which is the ``prediction_time``.
+
+    The minute before the window's end sits at place -1, so step ``h`` is the line at ``h - 1``. A
+    sensor with very many minutes is spread over its windows.
+    """
+    known = minutes.filter(F.col(value).isNotNull()).withColumn("_window", F.window(ts, size))
+    end = F.col("_window.end")
+    since = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(end.cast("timestamp"))
+    rows = known.select("sensor_id", end.alias("prediction_time"), F.col(value).alias("_load"),
+                        (since / 60_000_000).alias("_place"))
+    fitted = rows.groupBy("sensor_id", "prediction_time").agg(
+        F.regr_slope("_load", "_place").alias("slope"),
+        F.regr_intercept("_load", "_place").alias("intercept"), F.avg("_load").alias("mean"))
+    slope, level = F.coalesce("slope", F.lit(0.0)), F.coalesce("intercept", "mean")
+    return fitted.select("sensor_id", "prediction_time", *[
+        rectify(level + slope * step).alias(name) for step, name in enumerate(PREDICTIONS)])
+
+
 def forecast_score(features, load_model, prediction_time=None):
     """Predictions of a user's model for every feature vector, negative ones set to zero.
 

@@ -46,7 +46,7 @@ def batch_minutes(readings, ts="timestamp", size=SIZE):
     return view.withColumnRenamed("start_time", "timestamp").drop("end_time")
 
 
-def _parts(view):
+def parts_of(view):
     """Partial columns a view is finished from, as {column: (function, measure)}."""
     parts = {}
     for _, fn, measure in view:
@@ -55,7 +55,7 @@ def _parts(view):
     return parts
 
 
-PARTS = _parts(SPEED_VIEW + BATCH_VIEW)
+PARTS = parts_of(SPEED_VIEW + BATCH_VIEW)
 
 # Columns of stored partials.
 PARTIALS = StructType(

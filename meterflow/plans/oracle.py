@@ -210,3 +210,155 @@ ORACLE = {
     "merged_view": f"{WITH} {_speed()}",
     "merged_stored": f"{WITH} SELECT * FROM ({_speed()}) WHERE end_time <= {CLOSED}",
 }
+
+
+# -- histories and streams of them
+
+MINUTE = """date_trunc('minute', "timestamp")::TIMESTAMP"""
+LOADS = f"""loads AS (
+  SELECT sensor_id, {MINUTE} AS start_time, avg(global_active_power) AS load
+  FROM readings GROUP BY 1, 2)"""
+
+# The line through each hour's minutes, carried on from the end of the hour.
+PREDICTED = f"""{LOADS}, lines AS (
+  SELECT sensor_id, date_trunc('hour', start_time)::TIMESTAMP + INTERVAL 1 HOUR AS prediction_time,
+    CASE WHEN count(*) > 1 THEN regr_slope(load, place) ELSE 0 END AS slope,
+    CASE WHEN count(*) > 1 THEN regr_intercept(load, place) ELSE avg(load) END AS level
+  FROM (SELECT *, extract('minute' FROM start_time) - 60.0::DOUBLE AS place FROM loads)
+  GROUP BY 1, 2),
+predictions AS (
+  SELECT sensor_id, prediction_time, {", ".join(
+      f"greatest(0, level + slope * {step}) AS {name}" for step, name in enumerate(PREDICTIONS))}
+  FROM lines)"""
+
+NEWEST = "(SELECT date_trunc('millisecond', max(ts)) FROM events)"
+MILLIS = """millis AS (SELECT * REPLACE (date_trunc('millisecond', "timestamp")::TIMESTAMP
+  AS "timestamp") FROM readings)"""
+
+
+def _sessions(rows, seconds):
+    return f"""SELECT sensor_id, min("timestamp") AS start_time, max("timestamp") AS last_time,
+      count(*) AS readings, round(sum(global_active_power), 9) AS total_load,
+      max(global_active_power) AS max_load
+    FROM (SELECT *, sum(opens) OVER (PARTITION BY sensor_id ORDER BY "timestamp", event_id) AS n
+      FROM (SELECT *, coalesce("timestamp" - lag("timestamp") OVER (PARTITION BY sensor_id
+          ORDER BY "timestamp", event_id) > INTERVAL {seconds} SECONDS, false)::INT AS opens
+        FROM {rows}))
+    GROUP BY sensor_id, n"""
+
+
+def _sliding(size):
+    """The speed view of so many minutes up to each minute, from sums and counts of minutes."""
+    sums, columns = [], []
+    for part in SPEED_COLUMNS.replace("round(", "").replace(", 9)", "").split(","):
+        call, name = part.strip().split(" AS ")
+        fn, measure = call.rstrip(")").split("(")
+        if fn == "avg":
+            sums += [f"sum({measure}) AS {name}_s", f"count({measure}) AS {name}_n"]
+            columns.append(f"round(sum({name}_s) OVER upto / sum({name}_n) OVER upto, 9) "
+                           f"AS {name}")
+        else:
+            sums.append(f"{fn}({measure}) AS {name}")
+            columns.append(f"{fn}({name}) OVER upto AS {name}")
+    return f"""SELECT sensor_id, start_time, {", ".join(columns)}
+    FROM (SELECT sensor_id, {MINUTE} AS start_time, {", ".join(sums)} FROM readings GROUP BY 1, 2)
+    WINDOW upto AS (PARTITION BY sensor_id ORDER BY start_time
+      RANGE BETWEEN INTERVAL {size - 1} MINUTES PRECEDING AND CURRENT ROW)"""
+
+
+def _arrivals(slices, behind):
+    """Readings by the slice they arrive in, some ``behind`` and some twice, and whether their
+    minute was closed by the newest time of the slices up to two before."""
+    return f"""span AS (
+      SELECT epoch(date_trunc('second', min(ts))) AS begin,
+        greatest(1.0::DOUBLE, (epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6::DOUBLE) AS seconds
+      FROM events),
+    slots AS (
+      SELECT millis.*, greatest(0, least({slices - 1}, floor(
+        (epoch(date_trunc('minute', "timestamp")) - begin) / seconds * {slices})))::INT AS slot
+      FROM millis, span),
+    arrivals AS (
+      SELECT *, unnest(CASE WHEN event_id % 7 = 0 THEN [own, following] ELSE [own] END) AS slice
+      FROM (SELECT *, CASE WHEN event_id % 50 = 0 THEN following ELSE slot END AS own
+        FROM (SELECT *, least(slot + {behind}, {slices - 1}) AS following FROM slots))),
+    marks AS (
+      SELECT s.slice, max(a."timestamp") - INTERVAL 1 MINUTE AS watermark
+      FROM (SELECT DISTINCT slice FROM arrivals) s
+      LEFT JOIN arrivals a ON a.slice <= s.slice - 2 GROUP BY s.slice),
+    routed AS (
+      SELECT arrivals.*, coalesce({MINUTE} + INTERVAL 1 MINUTE <= watermark, false) AS late
+      FROM arrivals JOIN marks USING (slice))"""
+
+
+def _active(unit):
+    return f"""SELECT '{unit}' AS span, date_trunc('{unit}', "timestamp")::DATE AS start,
+      count(DISTINCT sensor_id) AS sensors FROM readings GROUP BY 2"""
+
+
+def _ranges(*ranges):
+    """(start, end) of accepted report ranges, or only the start of those that are refused."""
+    rows = []
+    for number, (start, *end) in enumerate(ranges):
+        count = f"""(SELECT count(*) FROM readings WHERE "timestamp" >= TIMESTAMP '{start}'
+          AND "timestamp" < TIMESTAMP '{end[0]}')""" if end else "0::BIGINT"
+        rows.append(f"SELECT {number} AS number, '{start}' AS start, {bool(end)} AS accepted, "
+                    f"{count} AS readings")
+    return " UNION ALL ".join(rows)
+
+
+STEPS = ", ".join(f"{{'step': {i}, 'value': {name}}}" for i, name in enumerate(PREDICTIONS, 1))
+CLOSED_MINUTE = f"date_trunc('minute', {NEWEST}) - INTERVAL 1 MINUTE"
+
+ORACLE |= {
+    "asof_forecast": f"""{WITH}, {PREDICTED}
+        SELECT event_id, readings.sensor_id, "timestamp", global_active_power, prediction_time,
+          round(prediction1, 9) AS prediction1
+        FROM readings ASOF LEFT JOIN predictions
+          ON readings.sensor_id = predictions.sensor_id AND "timestamp" >= prediction_time""",
+    "usage_sessions": f"{WITH} {_sessions('readings', 1800)}",
+    "stream_sessions": f"""{WITH}, {MILLIS} SELECT * FROM ({_sessions('millis', 1800)})
+        WHERE last_time + INTERVAL 1800 SECONDS <= {CLOSED}""",
+    "filled_minutes": f"""{WITH}, {LOADS}
+        SELECT sensor_id, start_time + k * INTERVAL 1 MINUTE AS start_time,
+          round(CASE WHEN k = 0 THEN load ELSE load + (following - load)
+            * ((k * 60000000) / (n * 60000000)) END, 9) AS avg_global_active_power, k > 0 AS filled
+        FROM (SELECT *, unnest(generate_series(0, CASE WHEN n <= 60 THEN n - 1 ELSE 0 END)) AS k
+          FROM (SELECT *, lead(load) OVER by_time AS following, (epoch(lead(start_time) OVER by_time)
+              - epoch(start_time))::BIGINT // 60 AS n
+            FROM loads WINDOW by_time AS (PARTITION BY sensor_id ORDER BY start_time)))""",
+    "sliding_load": f"{WITH} {_sliding(15)}",
+    "load_quantiles": f"""{WITH} SELECT sensor_id, count(global_active_power) AS n,
+        true AS within_one_percent FROM readings GROUP BY sensor_id""",
+    "fleet_quantiles": f"""{WITH} SELECT date_trunc('month', "timestamp")::DATE AS "month",
+        count(global_active_power) AS n, true AS within_one_percent FROM readings GROUP BY 1""",
+    "active_sensors": f"{WITH} " + " UNION ALL ".join(map(_active, ("day", "week", "month"))),
+    "checked_ranges": f"{WITH} " + _ranges(
+        ("2024-01-02 00:00:00", "2024-01-30 00:00:00"),
+        ("2024-01-05 12:00:00", "2024-01-06 12:00:00"), ("2024-01-30 00:00:00",),
+        ("2024-01-05 12:00:00",), ("2024-01-05 12:00:00",), ("last Tuesday",),
+        ("2024-02-30 00:00:00",), ("2024-01-05 12:00:00",)),
+    "timeless_minutes": f"""{WITH}, timed AS (SELECT * FROM readings WHERE event_id % 7 <> 0)
+        {_speed('minute', 'timed')}""",
+    "late_readings": f"""{WITH}, {MILLIS}, {_arrivals(4, 2)}
+        SELECT event_id, sensor_id, "timestamp", late FROM routed""",
+    "late_minutes": f"""{WITH}, {MILLIS}, {_arrivals(4, 2)},
+        kept AS (SELECT * FROM routed WHERE NOT late) {_speed('minute', 'kept')}""",
+    "live_sensors": f"""{WITH}, {MILLIS}
+        SELECT sensor_id, min("timestamp") AS first_time, max("timestamp") AS last_time,
+          max_by(global_active_power, "timestamp") AS load
+        FROM (SELECT *, sum(opens) OVER (PARTITION BY sensor_id ORDER BY "timestamp", event_id) AS n
+          FROM (SELECT *, coalesce("timestamp" - lag("timestamp") OVER (PARTITION BY sensor_id
+              ORDER BY "timestamp", event_id) > INTERVAL 300 SECONDS, false)::INT AS opens
+            FROM millis))
+        GROUP BY sensor_id, n HAVING max("timestamp") + INTERVAL 300 SECONDS <= {CLOSED}""",
+    "speed_live": f"{WITH} {_speed()}",
+    "scored_forecast": f"""{WITH}, {PREDICTED}, steps AS (
+        SELECT sensor_id, prediction_time + (s.step - 1) * INTERVAL 1 MINUTE AS "minute", s.step,
+          s.value AS predicted
+        FROM (SELECT *, unnest([{STEPS}]) AS s FROM predictions))
+        SELECT steps.sensor_id, "minute", step, round(predicted, 9) AS predicted, "time",
+          global_active_power AS load
+        FROM steps LEFT JOIN readings
+          ON steps.sensor_id = readings.sensor_id AND "minute" = {MINUTE}
+        WHERE "time" IS NOT NULL OR "minute" <= {CLOSED_MINUTE}""",
+}
