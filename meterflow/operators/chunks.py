@@ -16,17 +16,11 @@ def chunk_end(start, unit=UNIT):
     return F.timestamp_add(unit, F.lit(1), start)
 
 
-def carry(edges, keys, chunk, value, forward=True):
+def carry(edges, keys, chunk, value):
     """``edges``, one row per key and chunk, with ``carried``: the newest ``value`` that is not null
-    of the chunks before, or the oldest of those after if not ``forward``."""
-    every = Window.partitionBy(*keys).orderBy(chunk)
-    if forward:
-        found = F.last(value, ignorenulls=True).over(
-            every.rowsBetween(Window.unboundedPreceding, -1))
-    else:
-        found = F.first(value, ignorenulls=True).over(
-            every.rowsBetween(1, Window.unboundedFollowing))
-    return edges.withColumn("carried", found)
+    of the chunks before."""
+    before = Window.partitionBy(*keys).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    return edges.withColumn("carried", F.last(value, ignorenulls=True).over(before))
 
 
 def micros(ts):

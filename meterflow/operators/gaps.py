@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from meterflow.operators.chunks import UNIT, carry, chunk_of, micros
+from meterflow.operators.chunks import UNIT, chunk_of, micros
 
 MINUTE = 60
 
@@ -14,24 +14,22 @@ def fill_gaps(rows, value, ts, longest_seconds, keys=("sensor_id",), step_second
 
     There is one row per key and time on entry, all times a multiple of the step apart. A
     missing value lies on the line between its neighbours. Longer gaps stay as they are, and so do
-    those next to a null value. The next row of a chunk's last one comes from a later chunk, in a
-    pass with one row per key and chunk; so a key with very many rows is spread over its chunks.
-    Rows without a time are left out; a null key is a key like any other.
+    those next to a null value. Rows near the start of a chunk are seen by the chunk before too, so
+    that its last row finds the next one and a key with very many rows is spread over its chunks;
+    ``longest_seconds`` may not be longer than a chunk. Rows without a time are left out; a null key
+    is a key like any other.
     """
+    if longest_seconds > {"hour": 3600, "day": 86_400}[unit]:
+        raise ValueError(f"gaps of {longest_seconds} s are longer than a chunk, one {unit}")
     keys, step = list(keys), step_seconds * 1_000_000
-    plain = rows.filter(F.col(ts).isNotNull()).select(*keys, ts, value).withColumn(
-        "_chunk", chunk_of(F.col(ts), unit))
+    own = chunk_of(F.col(ts), unit)
+    before = F.timestamp_add(unit, F.lit(-1), own)
+    near = micros(F.col(ts)) - micros(own) <= longest_seconds * 1_000_000
+    plain = rows.filter(F.col(ts).isNotNull()).select(*keys, ts, value, F.explode(
+        F.when(near, F.array(own, before)).otherwise(F.array(own))).alias("_chunk"))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(ts)
     this = F.struct(F.col(ts).alias("at"), F.col(value).alias("v"))
-    led = plain.withColumn("_next", F.lead(this).over(inside))
-    edges = carry(plain.groupBy(*keys, "_chunk").agg(F.min(this).alias("_first")),
-                  keys, "_chunk", "_first", forward=False).drop("_first")
-    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) for c in keys]
-    # The last row of a chunk alone looks beyond it, so only those meet the edges.
-    last = led.filter("_next IS NULL").alias("a").join(
-        edges.alias("b"), [*same, F.col("a._chunk") == F.col("b._chunk")], "left"
-    ).select("a.*", "b.carried").withColumn("_next", F.col("carried")).drop("carried")
-    known = led.filter("_next IS NOT NULL").unionByName(last)
+    known = plain.withColumn("_next", F.lead(this).over(inside)).filter(F.col("_chunk") == own)
 
     span = micros(F.col("_next.at")) - micros(F.col(ts))
     short = (span <= longest_seconds * 1_000_000) & F.col("_next.v").isNotNull() & F.col(

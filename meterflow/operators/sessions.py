@@ -4,6 +4,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from meterflow.operators.chunks import UNIT, chunk_end, chunk_of, micros
+from meterflow.session import written
 
 # (column, how it is computed from readings, how partial sessions of it merge)
 MEASURED = [
@@ -31,8 +32,8 @@ def sessions(readings, gap_seconds, keys=("sensor_id",), unit=UNIT):
 
     Sessions are built within key and chunk, so a key with very many readings is spread over its
     chunks. Only those that come within a gap of their chunk's border can go on beyond it; they, at
-    most two for each key and chunk, are stitched in a second pass. The gap may not be longer than a
-    chunk. Readings without a time belong to no session; a null key is a key like any other.
+    most two for each key and chunk, are stitched in a second pass. Readings are shuffled once: the
+    parts are written, as both passes read them. The gap may not be longer than a chunk. Readings without a time belong to no session; a null key is a key like any other.
     """
     keys, gap = list(keys), int(gap_seconds * 1_000_000)
     if gap > {"hour": 3600, "day": 86_400}[unit] * 1_000_000:
@@ -41,6 +42,7 @@ def sessions(readings, gap_seconds, keys=("sensor_id",), unit=UNIT):
         "_chunk", chunk_of(F.col("timestamp"), unit))
     parts = _numbered(rows, [*keys, "_chunk"], "timestamp", "timestamp", gap).groupBy(
         *keys, "_chunk", "_number").agg(*[make().alias(name) for name, make, _ in MEASURED])
+    parts = written(parts, "sessions")
     at_start = micros(F.col("start_time")) - micros(F.col("_chunk")) <= gap
     at_end = micros(chunk_end(F.col("_chunk"), unit)) - micros(F.col("last_time")) <= gap
     border = parts.filter(at_start | at_end).drop("_chunk", "_number")

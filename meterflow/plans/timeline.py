@@ -11,6 +11,7 @@ from meterflow.operators.ranges import range_of, time_range
 from meterflow.operators.sessions import sessions
 from meterflow.plans.derived import naive, rounded
 from meterflow.schema import SPEED_VIEW
+from meterflow.session import written
 from meterflow.sources import events as source
 
 AVERAGES = [name for name, fn, _ in SPEED_VIEW if fn == "avg"]
@@ -38,12 +39,12 @@ def hourly_predictions(spark, sf_dir):
 
 
 def asof_forecast(spark, sf_dir):
-    """Each reading with the newest prediction made for its sensor before it."""
+    """Each reading with the newest stored prediction made for its sensor before it."""
     rows = source.readings(spark, sf_dir).select(
         "event_id", "sensor_id", "timestamp", "global_active_power")
     take = {"prediction_time": "prediction_time", "prediction1": "prediction1"}
-    found = asof_join(rows, hourly_predictions(spark, sf_dir), ["sensor_id"], "timestamp",
-                      "prediction_time", take)
+    stored = written(hourly_predictions(spark, sf_dir), "predictions")
+    found = asof_join(rows, stored, ["sensor_id"], "timestamp", "prediction_time", take)
     return rounded(naive(found, "prediction_time"), ["prediction1"], 9)
 
 
@@ -95,7 +96,7 @@ def active_sensors(spark, sf_dir):
     """How many sensors sent per day, week and month; only the days are counted from readings."""
     rows = source.readings(spark, sf_dir).select(
         "sensor_id", F.to_date("timestamp").alias("day"))
-    days = sketches.id_bitmaps(rows, "sensor_id", ["day"])
+    days = written(sketches.id_bitmaps(rows, "sensor_id", ["day"]), "active-days")
     spans = {
         "day": days.withColumnRenamed("day", "start"),
         **{unit: sketches.merge_bitmaps(

@@ -1,0 +1,214 @@
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from meterflow.operators.minutes import speed_minutes
+from meterflow.operators.sessions import sessions
+from meterflow.sources.messages import parse_readings, read_messages
+from meterflow.sources.stores import read_store
+from meterflow.streaming import jobs, late, live
+
+BASE = 1700000040000
+SECONDS = [[0, 30, 59.9, 60], [70, 125, 10], [185, 5, 61], [190, 62, 119, 3], [400, 188, 1]]
+ONCE = {"availableNow": True}
+
+
+def put(folder, number, seconds):
+    folder.mkdir(exist_ok=True)
+    lines = [json.dumps({"time": None if s is None else BASE + int(s * 1000),
+                         "global_active_power": s or 0, "voltage": 230, "sub_metering_1": 1})
+             for s in seconds]
+    path = folder / f"{number}.json"
+    path.write_text("\n".join(lines) + "\n")
+    os.utime(path, (1600000000 + number, 1600000000 + number))
+
+
+def topic(folder, batches=SECONDS):
+    for number, seconds in enumerate(batches):
+        put(folder / "topic", number, seconds)
+    return folder / "topic"
+
+
+def stream(spark, folder, per_batch=1):
+    options = {"path": str(folder), "maxFilesPerTrigger": per_batch}
+    return parse_readings(read_messages(spark, "text", options, "value string"))
+
+
+def stored(spark, folder):
+    return parse_readings(spark.read.text(str(folder)))
+
+
+def seconds(rows):
+    return sorted((r.time - BASE) / 1000 for r in rows.collect())
+
+
+# -- late readings
+
+
+@pytest.mark.parametrize("multiple", ["true", "false"])
+def test_late_rows_are_those_that_the_windows_drop(spark, tmp_path, multiple):
+    spark.conf.set(late.MULTIPLE, multiple)
+    try:
+        readings = stream(spark, topic(tmp_path))
+        speed, root = str(tmp_path / "speed"), str(tmp_path / "routed")
+        jobs.await_all([
+            jobs.start_speed(readings, str(tmp_path / "a"), speed, trigger=ONCE),
+            late.start_routed(readings, str(tmp_path / "b"), root, trigger=ONCE),
+        ])
+    finally:
+        spark.conf.unset(late.MULTIPLE)
+    kept, lost = (late.read_routed(spark, root, readings.schema, late=k) for k in (False, True))
+    assert lost.count() > 0
+    every = stored(spark, tmp_path / "topic")
+    assert sorted(seconds(kept) + seconds(lost)) == seconds(every)
+    view = read_store(spark, speed, jobs.speed_stream(readings).schema).drop("date")
+    wanted = speed_minutes(kept).filter(F.unix_millis("end_time") <= BASE + 400_000 - 60_000)
+    assert sorted(map(tuple, view.collect())) == sorted(map(tuple, wanted.collect()))
+    marks = late.read_marks(spark, root).orderBy("batch").collect()
+    assert sum(m.readings for m in marks) == 17 and sum(m.late for m in marks) == lost.count()
+    assert marks[0].watermark is None and marks[-1].newest.timestamp() * 1000 == BASE + 400_000
+
+
+def test_a_repeated_micro_batch_is_routed_as_before(spark, tmp_path):
+    folder, root = topic(tmp_path), str(tmp_path / "routed")
+    write = late.router(root)
+    for number in (0, 1, 2, 3, 4):
+        for _ in range(1 + number % 2):
+            write(stored(spark, folder / f"{number}.json"), number)
+    before = sorted(map(tuple, late.read_routed(
+        spark, root, stored(spark, folder).schema).select("time", "late").collect()))
+    assert len(before) == 17
+    for number in (2, 4):
+        write(stored(spark, folder / f"{number}.json"), number)
+    again = late.read_routed(spark, root, stored(spark, folder).schema).select("time", "late")
+    assert sorted(map(tuple, again.collect())) == before
+
+
+def test_readings_without_time_are_not_late(spark, tmp_path):
+    root = str(tmp_path / "routed")
+    folder = topic(tmp_path, [[5000], [6000], [None, 1, 6001]])
+    write = late.router(root)
+    for number in range(3):
+        write(stored(spark, folder / f"{number}.json"), number)
+    rows = late.read_routed(spark, root, stored(spark, folder).schema)
+    assert rows.filter("timestamp IS NULL AND NOT late").count() == 1
+    assert seconds(rows.filter("late")) == [1]
+
+
+def test_routing_continues_from_its_checkpoint(spark, tmp_path):
+    root, checkpoint, folder = str(tmp_path / "routed"), str(tmp_path / "ck"), tmp_path / "topic"
+    for number, some in enumerate(SECONDS):
+        put(folder, number, some)
+        readings = stream(spark, folder)
+        jobs.await_all([late.start_routed(readings, checkpoint, root, trigger=ONCE)])
+    whole = str(tmp_path / "whole")
+    jobs.await_all([late.start_routed(readings, str(tmp_path / "ck2"), whole, trigger=ONCE)])
+    one, other = (sorted(map(tuple, late.read_routed(spark, r, readings.schema).select(
+        "time", "late").collect())) for r in (root, whole))
+    assert one == other
+
+
+# -- windows as they change
+
+
+def test_the_last_change_of_every_window(spark, tmp_path):
+    ordered = [[0, 30], [40, 70], [80, 130], [125, 200]]
+    readings, root = stream(spark, topic(tmp_path, ordered)), str(tmp_path / "live")
+    jobs.await_all([live.start_live(readings, str(tmp_path / "ck"), root, trigger=ONCE)])
+    schema = jobs.speed_stream(readings).schema
+    view = live.read_live(spark, root, schema)
+    wanted = speed_minutes(stored(spark, tmp_path / "topic"))
+    assert sorted(map(tuple, view.collect())) == sorted(map(tuple, wanted.collect()))
+    # A micro-batch that is run again, as after a failure, changes nothing.
+    changes = spark.read.parquet(root)
+    assert changes.count() > wanted.count()
+    again = changes.filter(F.col("batch").endswith("-1"))
+    again.cache().count()
+    again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        "date", "batch").parquet(root)
+    assert sorted(map(tuple, live.read_live(spark, root, schema).collect())) == sorted(
+        map(tuple, wanted.collect()))
+    assert read_store(spark, root, schema).count() == changes.count()
+
+
+# -- sessions of a stream
+
+
+def append(spark, rows, folder, name):
+    jobs.await_all([jobs.start_append(
+        rows, str(folder / f"{name}-ck"), "parquet", {"path": str(folder / name)}, trigger=ONCE)])
+    return spark.read.schema(rows.schema).parquet(str(folder / name))
+
+
+def test_streamed_sessions_are_those_of_the_table(spark, tmp_path):
+    ordered = [[0, 100, 500], [520, 700, 1500], [1600, 1650], [4000]]
+    readings = stream(spark, topic(tmp_path, ordered))
+    found = append(spark, live.session_stream(readings, 300), tmp_path, "sessions")
+    wanted = sessions(stored(spark, tmp_path / "topic"), 300).filter(
+        F.unix_millis("last_time") + 300_000 <= BASE + 4_000_000 - 60_000)
+    assert found.count() == 3
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, wanted.collect()))
+
+
+# -- sensors that fall silent
+
+
+def silent(rows):
+    return sorted((r.first_time.timestamp() - BASE / 1000, r.last_time.timestamp() - BASE / 1000,
+                   r.load) for r in rows.collect())
+
+
+SILENT = [(0, 500, 500), (900, 1100, 1100), (1500, 1500, 1500)]
+
+
+def test_silent_sensors(spark, tmp_path):
+    ordered = [[0, 100, 500, 250], [900, 1100], [1500], [4000]]
+    readings = stream(spark, topic(tmp_path, ordered))
+    found = append(spark, live.silent_sensors(readings, 300 + 100), tmp_path, "silent")
+    assert silent(found) == [(0, 1500, 1500)]
+    found = append(spark, live.silent_sensors(readings, 300), tmp_path, "other")
+    assert silent(found) == SILENT
+
+
+def test_silent_sensors_do_not_depend_on_the_cuts(spark, tmp_path):
+    folder = topic(tmp_path, [[0, 100], [500, 250], [], [900], [1100, 1500], [4000, None]])
+    for per_batch in (1, 2, 9):
+        readings = stream(spark, folder, per_batch)
+        found = append(spark, live.silent_sensors(readings, 300), tmp_path, f"silent{per_batch}")
+        assert silent(found) == SILENT
+
+
+def test_silent_sensors_continue_from_their_checkpoint(spark, tmp_path):
+    folder = tmp_path / "topic"
+    for number, some in enumerate([[0, 100, 500, 250], [900], [1100], [1500], [4000]]):
+        put(folder, number, some)
+        found = append(spark, live.silent_sensors(stream(spark, folder), 300), tmp_path, "silent")
+    assert silent(found) == SILENT
+
+
+# -- predictions met by readings
+
+
+def test_predictions_with_and_without_readings(spark, tmp_path):
+    def predictions(number, minutes):
+        rows = [(1, BASE // 1000 + 60 * m, *[float(m)] * 2) for m in minutes]
+        made = spark.createDataFrame(rows, "sensor_id int, s long, p1 double, p2 double")
+        made = made.select("sensor_id", F.timestamp_seconds("s").alias("prediction_time"), "p1", "p2")
+        path = tmp_path / "made"
+        live.prediction_minutes(made, ["p1", "p2"]).coalesce(1).write.mode("append").parquet(str(path))
+
+    predictions(0, [0, 2])
+    predictions(1, [10, 20])
+    made = spark.readStream.schema(
+        "sensor_id int, minute timestamp, step int, predicted double"
+    ).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "made"))
+    readings = stream(spark, topic(tmp_path, [[5, 10, 65, 185], [605, 2000]]))
+    found = append(spark, live.scored_stream(made, readings), tmp_path, "scored").collect()
+    rows = sorted(((r.minute.timestamp() - BASE / 1000) / 60, r.step, r.predicted, r.load)
+                  for r in found if r.load is not None)
+    assert rows == [(0, 1, 0.0, 5.0), (0, 1, 0.0, 10.0), (1, 2, 0.0, 65.0), (3, 2, 2.0, 185.0),
+                    (10, 1, 10.0, 605.0)]
+    alone = sorted((r.minute.timestamp() - BASE / 1000) / 60 for r in found if r.load is None)
+    assert alone == [2, 11, 20]  # minute 21 may still be met

@@ -36,7 +36,8 @@ def test_entry_runs(spark):
     ("calendar_parts", 0), ("voltage_range", 0), ("speed_minute", 1), ("batch_minute", 1),
     ("partials_minute", 1), ("dedupe_last_write", 1), ("sensor_dim", 1), ("power_factor", 1),
     ("high_power", 1), ("latest_n", 2), ("forecast_features", 2), ("forecast_trend", 2),
-    ("merged_view", 2),
+    ("merged_view", 2), ("usage_sessions", 1), ("filled_minutes", 2), ("sliding_load", 2),
+    ("timeless_minutes", 1), ("asof_forecast", 4), ("load_quantiles", 3),
 ])
 def test_plans_stay_in_the_jvm_and_shuffle_as_little_as_they_can(spark, plan, name, shuffles):
     text = plan(queries()[name](spark, SMALL))
