@@ -58,6 +58,6 @@ def sliced_topic(spark, sf_dir, slices=3, late=0, upto=None):
     for i in range(slices if upto is None else upto):
         records = source.as_records(marked.filter(F.col("slot") == i).drop("slot"))
         # As many files in each slice, so that a slice is a micro-batch, later ones newer.
-        records.repartition(files, F.rand(i)).write.parquet(topic, mode="append")
+        records.repartition(files).write.parquet(topic, mode="append")
     options = {"path": topic, "maxFilesPerTrigger": files}
     return source.parse_records(read_messages(spark, "parquet", options, records.schema))

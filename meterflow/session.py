@@ -7,6 +7,9 @@ from pyspark.sql import SparkSession
 
 from meterflow.sources import files
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 # Spark settings the jobs are designed for. Cluster-specific sizes (executors, memory,
 # shuffle partitions) stay with the submitter.
 SETTINGS = {
@@ -16,8 +19,7 @@ SETTINGS = {
     # INT96 carries no usable min/max statistics, so range filters could not skip row groups.
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Window state off the JVM heap, uploaded as change logs.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    STATE_STORE: ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.ui.enabled": "false",
 }

@@ -6,6 +6,7 @@ from pyspark.sql.types import StructType
 
 from meterflow.operators.minutes import SIZE
 from meterflow.operators.sessions import MEASURED
+from meterflow.session import ROCKSDB, STATE_STORE
 from meterflow.sources.stores import PARTS, batch_writer, create_store
 from meterflow.streaming.jobs import DELAY, FILES, speed_stream
 
@@ -120,12 +121,13 @@ class LastWrite(StatefulProcessor):
 def silent_sensors(readings, silence_seconds=SILENCE, delay=DELAY):
     """A row for every time a sensor has been silent for so many seconds: ``sensor_id``, the
     ``first_time`` and ``last_time`` between which it had not been, and its last ``load``, of equal
-    times the largest. Needs the RocksDB state store of ``session.SETTINGS``.
+    times the largest. Timers need the RocksDB state store, which the session uses from here on.
 
     Readings without time or sensor are left out. How the stream is cut changes no row, but
     for readings later than ``delay``.
     """
     silence = silence_seconds * 1_000_000
+    readings.sparkSession.conf.set(STATE_STORE, ROCKSDB)
     rows = readings.filter("timestamp IS NOT NULL AND sensor_id IS NOT NULL").select(
         "sensor_id", F.unix_micros("timestamp").alias("at"), F.col("timestamp").alias("time"),
         F.col("global_active_power").alias("load"))
