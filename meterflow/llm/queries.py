@@ -105,15 +105,20 @@ QUERIES = {
 LOWER = """translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz')"""
 
-RUN = r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}"
+SPACE, SOLID = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
 
 
-def _runs(text):
-    return f"list_distinct(regexp_extract_all({text}, '{RUN}'))"
+def _leaves(line):
+    """The runs of words of a line: cut behind words by their MD5, and after eight."""
+    words = f"""list_transform(regexp_extract_all({line}, '{SOLID}+{SPACE}*|{SPACE}+'),
+      lambda word: CASE WHEN md5(word) < '4' THEN word || chr(10) ELSE word END)"""
+    return f"""flatten(list_transform(
+      string_split(coalesce(list_aggregate({words}, 'string_agg', ''), ''), chr(10)),
+      lambda run: regexp_extract_all(run, '{SPACE}*(?:{SOLID}+{SPACE}*){{1,8}}|{SPACE}+')))"""
 
 
 def _roots(texts, text):
-    """doc_id, paragraphs, sections and root of each text."""
+    """doc_id, leaves, paragraphs, sections and root of each text."""
     return f"""
       SELECT doc_id, flatten(list(nodes ORDER BY part)) AS paragraphs,
         list(section ORDER BY part) AS sections,
@@ -127,14 +132,30 @@ def _roots(texts, text):
           FROM (
             SELECT doc_id, unnest(lines) AS node, generate_subscripts(lines, 1) AS place
             FROM (SELECT doc_id, list_transform(string_split({text}, chr(10)),
-                    lambda line: sha256(line)) AS lines FROM {texts})))
+                    lambda line: sha256(array_to_string(list_transform({_leaves('line')},
+                      lambda leaf: sha256(leaf)), ' '))) AS lines FROM {texts})))
         GROUP BY doc_id, part)
       GROUP BY doc_id"""
 
 
+def _counts(texts, text):
+    """How often each leaf occurs in each text."""
+    return f"""
+      SELECT doc_id, leaf, count(*) AS n
+      FROM (SELECT doc_id, unnest({_leaves('line')}) AS leaf
+        FROM (SELECT doc_id, unnest(string_split({text}, chr(10))) AS line FROM {texts}))
+      GROUP BY doc_id, leaf"""
+
+
 def _likeness(a, b):
-    return f"""CASE WHEN len({a}) + len({b}) = 0 THEN 1.0::DOUBLE
-      ELSE 2.0::DOUBLE * len(list_intersect({a}, {b})) / (len({a}) + len({b})) END"""
+    return f"""
+      SELECT doc_id, CASE WHEN coalesce(p.n, 0) + coalesce(q.n, 0) = 0 THEN 1.0::DOUBLE
+        ELSE 2.0::DOUBLE * coalesce(r.n, 0) / (coalesce(p.n, 0) + coalesce(q.n, 0)) END AS near
+      FROM edits
+      LEFT JOIN (SELECT doc_id, sum(n) AS n FROM {a} GROUP BY doc_id) p USING (doc_id)
+      LEFT JOIN (SELECT doc_id, sum(n) AS n FROM {b} GROUP BY doc_id) q USING (doc_id)
+      LEFT JOIN (SELECT doc_id, sum(least({a}.n, {b}.n)) AS n FROM {a} JOIN {b}
+        USING (doc_id, leaf) GROUP BY doc_id) r USING (doc_id)"""
 
 
 ORACLE = {
@@ -189,19 +210,22 @@ ORACLE = {
         SELECT *, left(text, n - half) || left(following, half) AS edited FROM following),
       own AS ({_roots('edits', 'text')}),
       other AS ({_roots('edits', 'edited')}),
-      runs AS (
-        SELECT *, {_runs('text')} AS a, {_runs('edited')} AS b, {_runs('following')} AS c
-        FROM edits)
+      a AS ({_counts('edits', 'text')}),
+      b AS ({_counts('edits', 'edited')}),
+      c AS ({_counts('edits', 'following')}),
+      near_edited AS ({_likeness('a', 'b')}),
+      near_next AS ({_likeness('a', 'c')})
       SELECT doc_id, n::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
         own.root AS fingerprint, other.root AS edited_fingerprint,
-        {_likeness('a', 'b')} AS near_edited, {_likeness('a', 'c')} AS near_next,
+        near_edited.near AS near_edited, near_next.near AS near_next,
         coalesce(list_position(list_transform(
           range(1, greatest(len(own.paragraphs), len(other.paragraphs)) + 1),
           lambda i: own.paragraphs[i] IS DISTINCT FROM other.paragraphs[i]), true), 0)::BIGINT
           AS first_change,
         len(list_filter(list_distinct(own.sections),
           lambda s: NOT list_contains(other.sections, s)))::INT AS changed_sections
-      FROM runs JOIN own USING (doc_id) JOIN other USING (doc_id)""",
+      FROM edits JOIN own USING (doc_id) JOIN other USING (doc_id)
+        JOIN near_edited USING (doc_id) JOIN near_next USING (doc_id)""",
     "op4_exact_dedup": f"""
       WITH plain AS (SELECT doc_id, sha256({LOWER}) AS text_sha256 FROM documents),
       grouped AS (

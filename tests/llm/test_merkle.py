@@ -1,5 +1,6 @@
 import re
-from hashlib import sha256
+from collections import Counter
+from hashlib import md5, sha256
 
 from pyspark.sql import functions as F
 
@@ -12,8 +13,26 @@ def digest(text):
     return sha256(text.encode()).hexdigest()
 
 
+SPACE, SOLID = r"[\x20\x09\x0B-\x0D]", r"[^\x20\x09-\x0D]"
+
+
+def leaves(line):
+    """Word by word: a run ends with a word whose MD5 begins with 0 to 3, or after eight."""
+    found, run, words = [], "", 0
+    for word in re.findall(f"{SOLID}+{SPACE}*|{SPACE}+", line):
+        if words == 8:
+            found.append(run)
+            run, words = "", 0
+        run += word
+        words += bool(word.strip(" \t\v\f\r"))
+        if md5(word.encode()).hexdigest()[0] in "0123":
+            found.append(run)
+            run, words = "", 0
+    return found + [run] if run else found
+
+
 def tree(text):
-    paragraphs = [digest(line) for line in text.split("\n")]
+    paragraphs = [digest(" ".join(map(digest, leaves(line)))) for line in text.split("\n")]
     sections, part = [], []
     for node in paragraphs:
         part.append(node)
@@ -26,17 +45,18 @@ def tree(text):
     return paragraphs, sections, digest(" ".join(sections))
 
 
-def runs(text):
-    return set(re.findall(r"(?:[^\x20\x09-\x0D]+[\x20\x09\x0B-\x0D]*){1,4}", text))
+def counts(text):
+    return Counter(leaf for line in text.split("\n") for leaf in leaves(line))
 
 
 def alike(a, b):
-    total = len(a) + len(b)
-    return 2 * len(a & b) / total if total else 1.0
+    total = a.total() + b.total()
+    return 2 * (a & b).total() / total if total else 1.0
 
 
 def test_fingerprints_of_edits(make_docs):
     rows = [r for r in AWKWARD if r[0] not in (None, 4)]
+    rows += [(90, "  leading \t space\v and\r more  "), (91, "same " * 100), (92, " \n \n")]
     rows += [(100 + i, "\n".join(f"line {j} of text {i} {'ä' * j}" for j in range(i * 7))) for i in range(8)]
     found = {r.doc_id: r for r in merkle.edited_fingerprints(make_docs(rows)).collect()}
     order = sorted(rows, key=lambda r: -r[0])
@@ -49,8 +69,8 @@ def test_fingerprints_of_edits(make_docs):
         a, b = tree(text), tree(edited)
         assert (got.fingerprint, got.edited_fingerprint) == (a[2], b[2])
         assert (got.fingerprint == got.edited_fingerprint) == (text == edited)
-        assert abs(got.near_edited - alike(runs(text), runs(edited))) < 1e-12
-        assert abs(got.near_next - alike(runs(text), runs(other))) < 1e-12
+        assert abs(got.near_edited - alike(counts(text), counts(edited))) < 1e-12
+        assert abs(got.near_next - alike(counts(text), counts(other))) < 1e-12
         places = [i + 1 for i in range(max(len(a[0]), len(b[0])))
                   if a[0][i:i + 1] != b[0][i:i + 1]]
         assert got.first_change == (places[0] if places else 0)
@@ -78,3 +98,18 @@ def test_an_edit_changes_its_section_only(make_docs):
 
 def test_plan_is_native_and_deals_texts_once_per_key(awkward, plan):
     assert "Python" not in plan(merkle.edited_fingerprints(awkward))
+
+
+def test_one_word_more_is_almost_alike(make_docs):
+    words = " ".join(f"word{i * 7919 % 400}" for i in range(400))
+    for text in (words, "same " * 400, "other " * 400):
+        docs = make_docs([(2, text), (1, "First " + text)])
+        found = {r.doc_id: r for r in merkle.edited_fingerprints(docs).collect()}
+        assert 0.9 < found[2].near_next < 1 and found[2].fingerprint != found[1].fingerprint
+    docs = make_docs([(2, words), (1, words)])
+    assert {r.near_next for r in merkle.edited_fingerprints(docs).collect()} == {1.0}
+
+
+def test_leaves_are_the_whole_line(make_docs):
+    for text in (r[1] for r in AWKWARD if r[1]):
+        assert all("".join(leaves(line)) == line for line in text.split("\n"))
