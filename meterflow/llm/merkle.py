@@ -40,21 +40,33 @@ def leaves(line):
     return F.flatten(F.transform(runs, lambda run: F.regexp_extract_all(run, F.lit(LEAF), 0)))
 
 
+def bound(value, use):
+    """``use`` of a column that is evaluated once, however often it stands in the result."""
+    return F.transform(F.array(value), use)[0]
+
+
 def numbered(found):
     """A number for each leaf of a flat array: equal ones count on from 1, so that a set of numbers
     is a set of leaves with their repeats. Sorted, so in time little above the number of leaves."""
-    ordered = F.array_sort(F.transform(found, lambda leaf: F.xxhash64(leaf)))
-    shifted = F.concat(F.array(F.lit(None).cast("long")), F.slice(ordered, 1, F.greatest(
-        F.size(ordered) - 1, F.lit(0))))
-    again = F.zip_with(ordered, shifted, lambda a, b: a.eqNullSafe(b))
-    begins = F.filter(
-        F.transform(again, lambda same, i: F.when(~same, i)), lambda i: i.isNotNull())
-    ends = F.concat(F.slice(begins, F.lit(2), F.greatest(F.size(begins), F.lit(1))),
-                    F.array(F.size(ordered)))
-    repeats = F.zip_with(begins, ends, lambda a, b: b - a)
-    each = F.zip_with(F.array_distinct(ordered), repeats, lambda leaf, n: F.transform(
-        F.sequence(F.lit(1), n), lambda k: F.xxhash64(leaf, k)))
-    return F.when(F.size(found) == 0, F.array().cast("array<bigint>")).otherwise(F.flatten(each))
+    def runs(ordered):
+        """Where each run of equal numbers begins, and where the last one ends."""
+        shifted = F.concat(F.array(F.lit(None).cast("long")), ordered)
+        last = F.concat(ordered, F.array(F.lit(None).cast("long")))
+        same = F.zip_with(shifted, last, lambda a, b: a.eqNullSafe(b))
+        return F.filter(F.transform(same, lambda s, i: F.when(~s, i)), lambda i: i.isNotNull())
+
+    def count(ordered):
+        return bound(runs(ordered), lambda begins: F.zip_with(
+            begins, F.slice(begins, F.lit(2), F.size(begins)), lambda a, b: b - a))
+
+    def each(ordered):
+        return F.flatten(F.zip_with(F.array_distinct(ordered), F.filter(
+            count(ordered), lambda n: n.isNotNull()), lambda leaf, n: F.transform(
+                F.sequence(F.lit(1), n), lambda k: F.xxhash64(leaf, k))))
+
+    hashes = F.array_sort(F.transform(found, lambda leaf: F.xxhash64(leaf)))
+    return bound(hashes, lambda ordered: F.when(
+        F.size(ordered) == 0, F.array().cast("array<bigint>")).otherwise(each(ordered)))
 
 
 def add_tree(rows, text, prefix):
