@@ -1,13 +1,13 @@
 """HTML extraction by line-block distribution.
 
 Markup is stripped into lines, one for each block of the page; what stands in menus, headers,
-footers, side bars, notices, adverts, forms, scripts, styles or reader comments becomes an empty
-line, and so does a line that is mostly links. Text lengths are summed over sliding windows of
-``WINDOW`` lines. Text begins at a surge, where a window without text is followed by one with
-text, and ends at the dive back to windows without any; a stretch counts if its highest window
-comes near the page's highest or reaches ``SURGE`` characters. All lines of such stretches are
-kept, in page order. Where the page marks its article, lines outside are empty too, and every
-stretch inside counts, however short.
+footers, side bars, notices, adverts, forms, scripts, styles or reader comments is left out of its
+line, and a line that has nothing else, or is mostly links, is empty. Text lengths are summed over
+sliding windows of ``WINDOW`` lines. Text begins at a surge, where a window without text is
+followed by one with text, and ends at the dive back to windows without any; a stretch counts if
+its highest window comes near the page's highest or reaches ``SURGE`` characters. All lines of such
+stretches are kept, in page order. Where the page marks its article, the mark is a prior: a line
+inside counts for ``SURGE`` characters more, one outside for a share ``OUTSIDE`` of its length.
 
 Character references are decoded, white space inside a block becomes one space, and blocks are
 joined by an empty line.
@@ -28,6 +28,7 @@ from meterflow.llm.common import small_batches
 WINDOW = 3
 SURGE = 86
 LINKS = 0.6
+OUTSIDE = 0.25
 
 # Names of elements, and words of classes, ids and roles.
 BLOCKS = frozenset("""
@@ -64,22 +65,29 @@ MARKUP = re.compile(
     |<[!?/][^>]*+(?:>|\Z)""",
     re.IGNORECASE | re.DOTALL | re.VERBOSE,
 )
-NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMED = re.compile(
+    r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(
     r"""\shidden(?=[\s=>/]|\Z)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I
 )
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
-def _names(attributes):
-    """Words in the class, id and role of a tag."""
+def _names(name, attributes, article):
+    """Words in the class, id and role of a tag. An id of several words is mostly a place that
+    links lead to, made of a heading: that of a heading does not count, nor one inside an article,
+    but for words of comments."""
     if "=" not in attributes:
         return frozenset()
-    found = " ".join("".join(groups) for groups in NAMED.findall(attributes))
-    words = [word.lower() for word in WORDS.findall(found)]
+    found = []
+    for kind, *values in NAMED.findall(attributes):
+        words = [word.lower() for word in WORDS.findall("".join(values))]
+        if kind.lower() == "id" and (name in HEADINGS or article and len(words) > 1):
+            words = [] if name in HEADINGS else [w for w in words if w in COMMENT_WORDS]
+        found += words
     # "has-sidebar" or "no-menu" tells of a page's layout, not of the element.
     return frozenset(
-        word for before, word in zip(["", *words], words) if before not in LAYOUT
+        word for before, word in zip(["", *found], found) if before not in LAYOUT
     )
 
 
@@ -88,24 +96,27 @@ class _Page:
     how much of it is links."""
 
     def __init__(self):
-        self.lines, self.parts, self.linked = [], [], 0
+        self.lines, self.parts = [], []  # parts: text, skipped, inside an article, inside a link
         # Open elements: name, skipped, inside an article, inside comments, inside a link.
         self.stack = [("", False, False, False, False)]
 
     def end_line(self):
-        if self.parts:
-            text = " ".join(unescape("".join(self.parts)).split())
-            _, skipped, article, _, _ = self.stack[-1]
-            links = self.linked
-            self.parts, self.linked = [], 0
+        if not self.parts:
+            return
+        for skipped in (False, True):
+            parts = [part for part in self.parts if skipped or not part[1]]
+            text = " ".join(unescape("".join(part[0] for part in parts)).split())
             if text:
+                links = sum(len(part[0].strip()) for part in parts if part[3])
+                article = any(part[2] for part in parts if part[0].strip())
                 self.lines.append((text, skipped, article, links))
+                break
+        self.parts = []
 
     def text(self, text):
         if text:
-            self.parts.append(text)
-            if self.stack[-1][4]:
-                self.linked += len(text.strip())
+            _, skipped, article, _, link = self.stack[-1]
+            self.parts.append((text, skipped, article, link))
 
     def open(self, name, attributes):
         if name in BLOCKS:
@@ -113,14 +124,14 @@ class _Page:
             if name in ("p", "li", "dd", "dt", "tr") or name in HEADINGS:
                 self.close_open(name)
         elif name in SPACES:
-            self.parts.append(" ")
+            self.parts.append((" ", False, False, False))
         if name in VOID:
             return
         _, skipped, article, comments, link = self.stack[-1]
         if name == "body":
             skipped = False
         elif name != "html":
-            words = _names(attributes)
+            words = _names(name, attributes, article)
             comments = comments or bool(words & COMMENT_WORDS)
             named = bool(words & SKIPPED_WORDS) or bool(HIDDEN.search(attributes))
             if name in ("article", "main") and not comments:
@@ -168,20 +179,19 @@ def page_lines(html):
     return page.lines
 
 
-def main_lines(lines, window=WINDOW, surge=SURGE, links=LINKS):
+def main_lines(lines, window=WINDOW, surge=SURGE, links=LINKS, outside=OUTSIDE):
     """The lines that the distribution of text lengths shows to be the main text."""
-    marked = any(article for _, _, article, _ in lines)
-    texts = []
+    marked = any(article for _, skipped, article, _ in lines if not skipped)
+    texts, weights = [], []
     for text, skipped, article, linked in lines:
-        outside = marked and not article
-        mostly_links = not marked and linked > links * len(text)
-        texts.append("" if skipped or outside or mostly_links else text)
-    lengths = [len(text) for text in texts]
-    sums, total = [], 0
-    for i, length in enumerate(lengths):
-        total += length - (lengths[i - window] if i >= window else 0)
-        sums.append(total)
-    least = 0 if marked else min(surge, max(sums, default=0) / 2)
+        mostly_links = not article and linked > links * len(text)
+        texts.append("" if skipped or mostly_links else text)
+        weight = len(texts[-1])
+        if marked and weight:
+            weight = weight + surge if article else weight * outside
+        weights.append(weight)
+    sums = [sum(weights[max(0, i - window + 1):i + 1]) for i in range(len(weights))]
+    least = min(surge, max(sums, default=0) / 2)
     kept, i = [], 0
     while i < len(sums):
         if not sums[i]:

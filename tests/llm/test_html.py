@@ -1,3 +1,8 @@
+import os
+import random
+import re
+from html.parser import HTMLParser
+
 import pytest
 
 from meterflow.llm import html_extract
@@ -46,6 +51,125 @@ def test_names_that_begin_like_skipped_elements(page, text):
     assert main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<article><h2 id='search-algorithms'>Search algorithms</h2><p>Body</p>"
+     "<section id='social-history'><h3 id=related>Related</h3><p>More</p></section></article>",
+     "Search algorithms\n\nBody\n\nRelated\n\nMore"),
+    ("<article><p>a <select><option>1<option>2</select> b <span class='ad'>Buy now</span> c"
+     " <noscript>enable js</noscript> d <button>Share</button></p></article>", "a b c d"),
+    ("<article><p>kept</p><section id='reader-comments'><p>First!</p></section></article>", "kept"),
+    ("<article><p data-id='ad'>kept</p><p class='ad'>buy</p></article>", "kept"),
+    (f"<div class=x><p>{STORY} <span class='sponsored'>Buy</span></p><p>{STORY}</p></div>",
+     f"{STORY}\n\n{STORY}"),
+])
+def test_slugs_and_skipped_parts_of_a_line(page, text):
+    assert main_text(page) == text
+
+
+def test_the_mark_is_a_prior_and_density_decides():
+    far = "<div class='ad'>buy</div>" * 6
+    page = f"<article><p>{STORY * 3}</p>{far}<p>Short end.</p></article>{far}<p>Stray</p>"
+    assert main_text(page) == f"{STORY * 3}\n\nShort end."
+    # Text outside that is as dense as a whole article by far is text all the same.
+    page = f"<article><p>teaser</p></article>{far}<div><p>{STORY * 9}</p></div>"
+    assert main_text(page) == f"teaser\n\n{STORY * 9}"
+
+
+class Plain(HTMLParser):
+    """Blocks of a page with the library's parser: (text, skipped, in an article, linked)."""
+
+    def __init__(self):
+        super().__init__()
+        self.open, self.blocks, self.now = [], [], []
+
+    def cut(self):
+        kept = [part for part in self.now if not part[1]] or self.now
+        text = " ".join("".join(part[0] for part in kept).split())
+        if not text or not "".join(p[0] for p in kept).strip():
+            kept = self.now
+            text = " ".join("".join(part[0] for part in kept).split())
+        if text:
+            solid = [p for p in kept if p[0].strip()]
+            self.blocks.append((text, kept[0][1] and all(p[1] for p in solid),
+                                any(p[2] for p in solid),
+                                sum(len(p[0].strip()) for p in kept if p[3])))
+        self.now = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag in html_extract.BLOCKS:
+            self.cut()
+        if tag not in html_extract.VOID:
+            attrs = "".join(f' {k}="{v}"' for k, v in attrs if v)
+            self.open.append((tag, attrs))
+
+    def handle_endtag(self, tag):
+        if tag in html_extract.BLOCKS:
+            self.cut()
+        names = [name for name, _ in self.open]
+        if tag in names:
+            del self.open[len(names) - 1 - names[::-1].index(tag):]
+
+    def handle_data(self, data):
+        skipped = article = comments = False
+        for i, (tag, attrs) in enumerate(self.open):
+            words = html_extract._names(tag, attrs, article)
+            named = words & html_extract.SKIPPED_WORDS
+            comments = comments or words & html_extract.COMMENT_WORDS
+            if tag == "body":
+                skipped = False
+            elif tag in ("article", "main") and not comments:
+                article = article or not skipped
+            elif tag in html_extract.HEADINGS and article and self.open[i - 1][0] == "header":
+                skipped = bool(named)
+            elif tag in html_extract.SKIPPED | {"header", "script", "style", "title"} or named:
+                skipped = tag != "html"
+        if any(tag in ("script", "style", "title") for tag, _ in self.open):
+            return
+        link = any(tag == "a" for tag, _ in self.open)
+        self.now.append((data, bool(skipped), bool(article), link))
+
+
+def plain_text(html):
+    parser = Plain()
+    parser.feed(html)
+    parser.close()
+    parser.cut()
+    return "\n\n".join(html_extract.main_lines(parser.blocks))
+
+
+SMALL = "/root/testdata/sf0.01/pages.parquet"
+
+
+@pytest.mark.skipif(not os.path.exists(SMALL), reason="no test tables here")
+def test_given_pages_against_the_library_parser(spark):
+    pages = [row.html or "" for row in spark.read.parquet(SMALL).select("html").collect()]
+    for page in pages:
+        text = main_text(page)
+        assert text == plain_text(page)
+        assert text == main_text(re.sub(r"<(/?)article\b", r"<\1div", page))
+
+
+def brute_lines(lines, window, surge):
+    """The density rule for pages without a mark, stretch by stretch of every possible border."""
+    texts = ["" if skipped or linked > 0.6 * len(text) else text for text, skipped, _, linked in lines]
+    sums = [sum(map(len, texts[max(0, i - window + 1):i + 1])) for i in range(len(texts))]
+    least = min(surge, max(sums, default=0) / 2)
+    kept = set()
+    for a in range(len(sums)):
+        for b in range(a, len(sums)):
+            if all(sums[a:b + 1]) and max(sums[a:b + 1]) >= least:
+                kept |= set(range(a, b + 1))
+    return [texts[i] for i in sorted(kept) if texts[i]]
+
+
+def test_density_against_every_stretch():
+    draw = random.Random(6)
+    for _ in range(200):
+        lines = [("x" * draw.choice([0, 3, 30, 90, 200]), draw.random() < 0.4, False,
+                  draw.choice([0, 0, 30])) for _ in range(draw.randrange(25))]
+        assert html_extract.main_lines(lines) == brute_lines(lines, 3, 86)
+
+
 def test_density_without_marked_article():
     lines = [(f"menu {i}", False, False, 6) for i in range(8)]
     lines += [("Title", False, False, 0)] + [(STORY, False, False, 0)] * 3
