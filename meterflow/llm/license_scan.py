@@ -97,6 +97,16 @@ TEMPLATES = [
         documentation and/or other materials provided with the distribution. 3. Neither the name of
         the copyright holder nor the names of its contributors may be used to endorse or promote
         products derived from this software without specific prior written permission."""),
+    ("bsd-4-clause", """Redistribution and use in source and binary forms, with or without
+        modification, are permitted provided that the following conditions are met: 1.
+        Redistributions of source code must retain the above copyright notice, this list of
+        conditions and the following disclaimer. 2. Redistributions in binary form must reproduce
+        the above copyright notice, this list of conditions and the following disclaimer in the
+        documentation and/or other materials provided with the distribution. 3. All advertising
+        materials mentioning features or use of this software must display the following
+        acknowledgement: This product includes software developed by the organization. 4. Neither
+        the name of the copyright holder nor the names of its contributors may be used to endorse or
+        promote products derived from this software without specific prior written permission."""),
     ("lgpl-2.1", """This library is free software; you can redistribute it and/or modify it under
         the terms of the GNU Lesser General Public License as published by the Free Software
         Foundation; either version 2.1 of the License, or (at your option) any later version."""),
@@ -144,12 +154,27 @@ for _version, (_name, _parts) in product(("4.0", "3.0"), (
     for _words in product(*_parts):
         TEMPLATES.append((f"cc-{_name}-{_version}", "This work is licensed under a Creative Commons "
                           f"{'-'.join(('Attribution', *_words))} {_version} International License."))
+# Identifiers of the list of licenses of SPDX, and the names they have here.
+SPDX = ["MIT", "ISC", "Unlicense", "Apache-2.0", "MPL-1.1", "MPL-2.0", "EPL-1.0", "EPL-2.0", "CC0-1.0",
+        "BSD-2-Clause", "BSD-3-Clause", "BSD-4-Clause"]
+SPDX += [f"{_id}{_end}" for _id in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0")
+         for _end in ("", "-only", "-or-later")]
+SPDX += [f"CC-{_id}-{_version}" for _id in ("BY", "BY-NC", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")
+         for _version in ("3.0", "4.0")]
+for _id in SPDX:
+    _name = _id.lower().removesuffix("-only").removesuffix("-or-later")
+    TEMPLATES.append((_name, f"SPDX-License-Identifier: {_id}"))
+for _n in "234":
+    TEMPLATES += [(f"bsd-{_n}-clause", f"BSD {_n}-Clause License"),
+                  (f"bsd-{_n}-clause", f"{_n}-Clause BSD License")]
+TEMPLATES += [("mit", "MIT licensed"), ("mit", "The MIT License"), ("unlicense", "Unlicense")]
 FULL = ("apache-2.0", "gpl-2.0", "gpl-3.0", "lgpl-2.1", "lgpl-3.0", "mpl-2.0", "cc0-1.0")
 
 # Words that tell licenses apart beside numbers, and those of them that make another
 # license of one they are added to.
 NAMES = frozenset("""
-apache mit bsd isc gnu general mozilla eclipse cc creative cc0 neither endorse
+apache mit bsd isc gnu general mozilla eclipse cc creative cc0 neither endorse spdx gpl lgpl agpl
+mpl epl unlicense advertising
 """.split())
 ADDED = frozenset("""
 lesser affero documentation nc sa nd noncommercial commercial sharealike alike noderivatives
@@ -161,7 +186,7 @@ TITLE, SHINGLE, LONG = 8, 5, 300
 # Words that tell of a license, at least one of them in every template.
 TELLING = frozenset("""
 license licensed licenses reserved granted redistribution redistribute mozilla copyright
-unencumbered permission cc mit apache bsd eclipse
+unencumbered permission cc mit apache bsd eclipse unlicense
 """.split())
 SIGNS = (b"licen", b"reserved", b"granted", b"redistribut", b"copyright", b"unencumbered",
          b"permission")

@@ -97,3 +97,85 @@ def test_full_texts():
         "GNU GENERAL PUBLIC LICENSE", "GNU AFFERO GENERAL PUBLIC LICENSE", 1)
     affero = affero.replace("29 June", "19 November", 1)
     assert "gpl-3.0" not in [m[0] for m in matches(affero, KNOWN)][:1]
+
+
+@pytest.mark.parametrize("text, names", [
+    ("# SPDX-License-Identifier: Apache-2.0\nimport os", ["apache-2.0"]),
+    ("// SPDX-License-Identifier: GPL-3.0-or-later", ["gpl-3.0"]),
+    ("SPDX-License-Identifier: LGPL-2.1-only", ["lgpl-2.1"]),
+    ("SPDX-License-Identifier: CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4.0"]),
+    ("SPDX-License-Identifier: BSD-2-Clause and more", ["bsd-2-clause"]),
+    ("It has the BSD 3-Clause license.", ["bsd-3-clause"]),
+    ("Licensed under the 4-clause BSD license.", ["bsd-4-clause"]),
+    ("This code is MIT licensed.", ["mit"]), ("Unlicense", ["unlicense"]),
+    ("The MIT License (MIT)", ["mit"]),
+    ("the identifier of a license", []), ("an MIT professor licensed it", []),
+    ("BSD systems have three licenses", []), ("The license of MIT", []),
+])
+def test_short_forms(text, names):
+    assert [m[0] for m in matches(text, KNOWN)] == names
+
+
+def test_bsd_clauses_are_told_apart():
+    for name, text in TEMPLATES:
+        if name.startswith("bsd-") and len(text) > 200:
+            changed = text.replace("above copyright notice", "copyright notice above", 1)
+            assert [m[0] for m in matches(f"A. {changed} B.", KNOWN)] == [name]
+
+
+def longest_common(a, b, a_from=0, a_to=None, b_from=0, b_to=None):
+    """Places of a longest common subsequence, by the table of all pairs."""
+    rows, cols = range(a_from, a_to), range(0, len(b))
+    best = {}
+    for i in reversed(rows):
+        for j in reversed(cols):
+            best[i, j] = (1 + best.get((i + 1, j + 1), 0) if a[i] == b[j]
+                          else max(best.get((i + 1, j), 0), best.get((i, j + 1), 0)))
+    pairs, i, j = [], a_from, 0
+    while i < a_to and j < len(b):
+        if a[i] == b[j]:
+            pairs.append((i, j))
+            i, j = i + 1, j + 1
+        elif best.get((i + 1, j), 0) >= best.get((i, j + 1), 0):
+            i += 1
+        else:
+            j += 1
+    return pairs
+
+
+def test_against_a_plain_alignment_at_every_place(monkeypatch):
+    """Notices between other words, some changed: what is found is what the longest common
+    subsequence with every stretch of the text tells."""
+    draw = random.Random(8)
+    short = [(name, text) for name, text in TEMPLATES if len(text) < 90]
+    others = "the of work version under public a in to general open free source terms".split()
+    texts = []
+    for _ in range(10):
+        parts = []
+        for name, text in draw.sample(short, 2):
+            words = text.split()
+            if draw.random() < 0.4 and len(words) > 5:
+                words.insert(draw.randrange(1, len(words)), "new")
+            parts += draw.choices(others, k=draw.randint(6, 9)) + words
+        texts.append(" ".join(parts + draw.choices(others, k=6)))
+    found = [[m[:3] for m in matches(text, KNOWN)] for text in texts]
+    assert sum(map(len, found)) > 15
+    small = [t for t in KNOWN if len(t.words) < 16]
+    monkeypatch.setattr(license_scan, "align", longest_common)
+    for text, got in zip(texts, found):
+        words, spans = license_scan.words_of(text)
+        best = []
+        for template in small:
+            if not template.required <= set(words):
+                continue
+            for start in range(len(words)):
+                for end in (start + len(template.words), start + len(template.words) + template.slack):
+                    match = template.match(words, start, end, license_scan.COVERAGE)
+                    if match:
+                        best.append((-match[0], -match[1], template.name, *match[2:]))
+        taken, kept = set(), []
+        for _, _, name, first, last in sorted(best):
+            if not taken & set(range(first, last + 1)):
+                taken |= set(range(first, last + 1))
+                kept.append((name, spans[first][0], spans[last][1]))
+        assert [m[0] for m in got] == [m[0] for m in sorted(kept, key=lambda m: m[1])], text
