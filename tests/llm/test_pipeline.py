@@ -22,7 +22,7 @@ def test_query_equals_its_sql(spark, name):
 @needs_tables
 def test_one_query_per_operator(spark):
     numbers = sorted(int(name[2:].split("_")[0]) for name in QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
 
 
 @needs_tables
