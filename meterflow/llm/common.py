@@ -13,6 +13,9 @@ from meterflow.session import written
 
 # Rows of one Arrow batch. A batch of texts has to fit into a Python worker, long ones included.
 BATCH_ROWS = 256
+# Rows of one key that a join takes in one part, and parts in which hot keys are looked up.
+PART_ROWS = 1000
+SALTS = 16
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -51,6 +54,37 @@ def ranked(rows, *order):
     )
 
 
+def join_spread(rows, groups, keys, number):
+    """``rows`` joined to ``groups``, a stored table with one row per ``keys`` and their rows
+    ``n``; a key of over ``PART_ROWS`` rows is dealt to as many parts as it needs.
+
+    The parts of a key are looked up by its hash on both sides. So two keys of one hash only
+    share the number of parts, and the table of hot keys has two numbers a row, at most one for
+    every ``PART_ROWS`` rows. Copies of ``groups`` are no more than that.
+    """
+    key, deal = F.xxhash64(*keys), F.xxhash64(number)
+    hot = written(
+        groups.filter(F.col("n") > PART_ROWS).groupBy(key.alias("key")).agg(
+            F.max(F.ceil(F.col("n") / PART_ROWS)).alias("parts")
+        ), "hot-keys",
+    )
+    if hot.isEmpty():
+        return rows.join(groups, keys)
+    salted = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumns(
+        {"key": key, "salt": F.pmod(deal, F.lit(SALTS)).cast("int")}
+    ).join(salted, ["key", "salt"], "left").withColumn(
+        "salt", F.coalesce(F.pmod(deal, F.col("parts")), F.lit(0))
+    )
+    last = F.coalesce(F.col("parts"), F.lit(1)) - 1
+    copies = groups.withColumn("key", key).join(hot, "key", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0).cast("long"), last))
+    )
+    return dealt.drop("key", "parts").join(
+        copies.drop("key", "parts"), [*keys, "salt"]
+    ).drop("salt")
+
+
 def frequent(counts, most):
     """The rows of ``counts`` (word, n) above the least count that at most ``most`` words reach.
 

@@ -5,9 +5,9 @@ long as the one before. A group of one is settled, and so is a group whose texts
 only the rest goes on. Bytes are compared as they are: no digest decides.
 
 A round counts (group, bytes) pairs with map-side sums, so any number of copies leaves one row
-per task, and joins the pairs that occur more than once back to their rows, where adaptive
-execution splits a hot pair. No group of rows comes together in one task. Each round's
-membership is a table in the shared folder.
+per task, and joins the pairs that occur more than once back to their rows, those of a hot pair
+dealt to several parts. No group of rows comes together in one task. Each round's membership is
+a table in the shared folder.
 
 Defined cases: null counts as the empty text, and both are equal. Of equal texts the row with
 the largest ``doc_id`` stays (a null id is smaller than any); of several such rows one stays,
@@ -18,34 +18,33 @@ have any name.
 from functools import reduce
 from string import ascii_lowercase, ascii_uppercase
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from meterflow.llm.common import small_batches
+from meterflow.llm.common import join_spread
 from meterflow.session import written
 
 FIRST_RUN = 32
 GROWTH = 8
 
 
+def lower(text):
+    """A to Z in lower case, everything else as it is."""
+    return F.translate(text, ascii_uppercase, ascii_lowercase)
+
+
 def lower_bytes(run):
     """A to Z in lower case, each byte of the run as the Latin-1 character of that number: no
     other byte of UTF-8 is one of these letters, and different bytes stay different."""
-    return F.translate(F.decode(run, "ISO-8859-1"), ascii_uppercase, ascii_lowercase)
-
+    return lower(F.decode(run, "ISO-8859-1"))
 
-@F.pandas_udf(StringType())
-def lower_sha256(texts: pd.Series) -> pd.Series:
-    import hashlib
 
-    return texts.map(lambda text: hashlib.sha256((text or "").encode().lower()).hexdigest())
+def lower_sha256(text):
+    return F.sha2(lower(F.coalesce(text, F.lit(""))), 256)
 
 
 def _numbered(docs, *extra):
     """The rows in a stored table, each with a number of its own."""
-    small_batches(docs.sparkSession)
     return written(
         docs.select(
             F.monotonically_increasing_id().alias("number"), F.struct("*").alias("row"),
@@ -68,11 +67,13 @@ def equal_groups(rows, first_run=FIRST_RUN):
         # The open rows grow with the table, so neither side is ever broadcast.
         part = part.join(open_rows.hint("merge"), "number")
         part = written(part.withColumn("run", lower_bytes(F.col("run"))), "dedup-runs")
-        same = part.groupBy("group", "run").agg(
-            F.min("number").alias("first"), F.count("*").alias("n")
-        ).filter("n > 1")
+        same = written(
+            part.groupBy("group", "run").agg(
+                F.min("number").alias("first"), F.count("*").alias("n")
+            ).filter("n > 1"), "dedup-pairs",
+        )
         left = written(
-            part.join(same, ["group", "run"]).select(
+            join_spread(part, same.hint("merge"), ["group", "run"], "number").select(
                 "number", "length", F.col("first").alias("group")
             ), "dedup-groups",
         )
@@ -89,17 +90,21 @@ def _decided(rows):
         equal_groups(rows), "number"
     )
     members = written(members, "dedup-members")
-    groups = members.groupBy("group").agg(
-        F.max(F.struct("doc_id", "number")).alias("keep"), F.count("*").alias("group_size")
+    groups = written(
+        members.groupBy("group").agg(
+            F.max(F.struct("doc_id", "number")).alias("keep"), F.count("*").alias("n")
+        ), "dedup-keepers",
+    )
+    return join_spread(members.select("number", "group"), groups, ["group"], "number").select(
+        "number", "keep", F.col("n").alias("group_size")
     )
-    return members.select("number", "group").join(groups, "group").drop("group")
 
 
 def exact_groups(docs):
     """One row per document, dropped ones too: ``doc_id``, the ``keep_id`` that stays for it,
     ``group_size``, ``kept``, and ``text_sha256`` of the text in lower case."""
     rows = _numbered(
-        docs.select("doc_id", "text"), lower_sha256("text").alias("text_sha256")
+        docs.select("doc_id", "text"), lower_sha256(F.col("text")).alias("text_sha256")
     )
     joined = rows.select("number", "row.doc_id", "text_sha256").join(
         _decided(rows), "number", "left"

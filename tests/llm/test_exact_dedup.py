@@ -1,7 +1,7 @@
 from collections import defaultdict
 from hashlib import sha256
 
-from meterflow.llm import exact_dedup
+from meterflow.llm import common, exact_dedup
 
 from .conftest import AWKWARD, LONG
 
@@ -44,3 +44,21 @@ def test_short_runs_make_many_rounds(make_docs):
 def test_empty_table(empty):
     assert exact_dedup.exact_groups(empty).count() == 0
     assert exact_dedup.drop_exact_copies(empty).count() == 0
+
+
+def test_hot_groups_are_dealt_to_parts(make_docs, monkeypatch):
+    monkeypatch.setattr(common, "PART_ROWS", 3)
+    texts = ["Copied TEXT " * 30, "copied text " * 30, "copied text " * 29 + "copied tex. ", "É"]
+    rows = [(i, texts[min(i % 5, 3)]) for i in range(100)]
+    found = {r.doc_id: r for r in exact_dedup.exact_groups(make_docs(rows)).collect()}
+    members = defaultdict(list)
+    for i, text in rows:
+        members[lower(text)].append(i)
+    for i, text in rows:
+        same = members[lower(text)]
+        assert found[i][1:] == (max(same), len(same), i == max(same), sha256(lower(text)).hexdigest())
+
+
+def test_digests_need_no_python(awkward, plan):
+    digests = awkward.select(exact_dedup.lower_sha256(awkward.text))
+    assert "Python" not in plan(digests) and "sha2(" in plan(digests)
