@@ -1,3 +1,4 @@
+from meterflow.llm import common
 from meterflow.llm.components import components
 
 
@@ -13,3 +14,11 @@ def test_chains_stars_and_loops(spark):
 
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_repeats_missing_nodes_and_hubs(spark, monkeypatch):
+    monkeypatch.setattr(common, "PART_ROWS", 3)
+    links = [(1, j) for j in range(50, 80)] * 2 + [(j, 1) for j in range(60, 90)]
+    links += [(None, 4), (4, None), (None, None), (300, 301), (301, 300)]
+    found = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert found == {**{j: 1 for j in range(50, 90)}, 301: 300}
