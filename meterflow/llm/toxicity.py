@@ -8,8 +8,10 @@ folds, and the calibration from trees of the other folds, so nothing is judged o
 
 The classifier is fitted on about ``SAMPLE`` labelled rows, chosen by a hash of their id, all of
 them if there are fewer; rows whose crc32 of the id as text is 0 modulo 5 are never among them.
-The sample's ids are broadcast; its texts are counted by Spark, and the driver gets at most
-``LEXICON`` tokens and one row of numbers per sampled text. Every text is scored whole.
+The sample's ids are broadcast; its texts are counted by Spark, and the driver gets the tokens of
+the sample that are strong enough (a weight of ``STRONG``, ``LEAST_TEXTS`` toxic texts) and one
+row of numbers per sampled text. Words over ``LONGEST`` bytes are tokens by their beginnings only.
+Every text is scored whole.
 
 Defined cases: null counts as the empty text, which is scored like any other. With no usable
 label every score is 0; with labels of one class it is that class. Several labels of one id
@@ -31,10 +33,10 @@ from meterflow.llm.common import held_out, small_batches
 from meterflow.session import written
 
 SAMPLE = 24_000
-LEXICON = 20_000
 FOLDS = 3
 LEAST_TEXTS = 3
 STRONG = 1.5
+LONGEST = 64
 BEGINNINGS = (4, 5, 6)
 NEAR = 5
 
@@ -77,7 +79,7 @@ def words_of(text):
 
 def tokens_of(distinct):
     """The words, and their beginnings marked with a star."""
-    tokens = set(distinct)
+    tokens = {word for word in distinct if len(word) <= LONGEST}
     for size in BEGINNINGS:
         tokens.update([word[:size] + b"*" for word in distinct if len(word) > size])
     return tokens
@@ -96,7 +98,7 @@ def features(text, lexicon):
     plain = INSULT & distinct
     hits, talks = plain | whole.keys(), distinct & SECOND_PERSON
     times = sum(map(words.count, plain))
-    often = sum(map(words.count, whole))
+    often = sum(map(whole.__contains__, words)) if whole else 0
     near = spoken = 0
     if talks:
         spoken = sum(map(words.count, talks))
@@ -186,7 +188,7 @@ class Lexicon:
         return {self.tokens[i]: float(weight[i]) for i in np.flatnonzero(good)}
 
 
-def _lexicon(sample, most):
+def _lexicon(sample):
     texts = np.zeros((FOLDS, 2))
     for row in sample.groupBy("fold", "toxic").count().collect():
         texts[row.fold, int(row.toxic > 0)] = row["count"]
@@ -194,9 +196,8 @@ def _lexicon(sample, most):
     with_it = sum(F.col(f"c{2 * i + 1}") for i in range(FOLDS))
     without = sum(F.col(f"c{2 * i}") for i in range(FOLDS))
     weight = F.log((with_it + 0.5) / (toxic + 1)) - F.log((without + 0.5) / (clean + 1))
-    rows = _token_counts(sample).filter((with_it >= LEAST_TEXTS) & (weight >= STRONG)).orderBy(
-        F.desc(weight * F.log(with_it + 1.0)), "token"
-    ).limit(most).collect()
+    strong = (with_it >= LEAST_TEXTS) & (weight >= STRONG)
+    rows = sorted(_token_counts(sample).filter(strong).collect())
     cells = np.array([r[1:] for r in rows], float).reshape(len(rows), FOLDS, 2)
     return Lexicon([bytes(r.token) for r in rows], cells, texts)
 
@@ -214,13 +215,13 @@ class Model:
         return np.clip(self.calibration.share(self.trees.raw(rows.reshape(len(texts), -1))), 0, 1)
 
 
-def fit(docs, labels, sample=SAMPLE, most=LEXICON):
+def fit(docs, labels, sample=SAMPLE):
     """The model from the labelled rows among ``docs``."""
     spark = docs.sparkSession
     small_batches(spark)
     chosen = F.broadcast(_chosen(labels, sample))
     rows = written(docs.select("doc_id", "text").join(chosen, "doc_id"), "toxicity-sample")
-    lexicon = _lexicon(rows, most)
+    lexicon = _lexicon(rows)
     by_fold = spark.sparkContext.broadcast([lexicon.weights(fold) for fold in range(FOLDS)])
 
     def numbers(batches):

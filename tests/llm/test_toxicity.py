@@ -70,6 +70,17 @@ def test_awkward_tables(awkward, empty, spark):
     assert toxicity.score_documents(empty, labels).count() == 0
 
 
+def test_weight_alone_makes_the_lexicon(make_docs, spark):
+    """Every token of three toxic texts and no clean one is in, however many there are."""
+    toxic = " ".join(f"w{i}x" for i in range(25_000)) + " " + "z" * 70
+    rows = [(i, toxic if i % 2 else "plain words here") for i in range(40)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(40)],
+                                   "doc_id long, quality int, toxic int")
+    weights = toxicity.fit(make_docs(rows), labels).weights
+    assert {f"w{i}x".encode() for i in range(25_000)} <= weights.keys()
+    assert b"z" * 70 not in weights and b"zzzzzz*" in weights
+
+
 def test_features():
     plain = toxicity.features("You are an IDIOT, you id1ot! m.o.r.o.n", {})
     named = dict(zip(toxicity.NAMES, plain))
