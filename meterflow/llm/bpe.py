@@ -33,7 +33,7 @@ from meterflow.llm.common import frequent, ship, small_batches
 from meterflow.llm.transducer import Transducer, compile_words
 from meterflow.session import written
 
-# Words in the lexicon at most; it goes to every executor.
+# Words in the lexicon at most, none over ``LONGEST_WORD`` bytes; it goes to every executor.
 LEXICON_WORDS = 200_000
 # Pieces a worker keeps: encoded ones, and counted ones before they go on.
 KEPT_PIECES = 500_000

@@ -16,6 +16,8 @@ BATCH_ROWS = 256
 # Rows of one key that a join takes in one part, and parts in which hot keys are looked up.
 PART_ROWS = 1000
 SALTS = 16
+# Bytes of a word beyond which it is not among the frequent ones that go to the driver.
+LONGEST_WORD = 64
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -86,11 +88,13 @@ def join_spread(rows, groups, keys, number):
 
 
 def frequent(counts, most):
-    """The rows of ``counts`` (word, n) above the least count that at most ``most`` words reach.
+    """The rows of ``counts`` (word, n) above the least count that at most ``most`` words reach,
+    but for words of over ``LONGEST_WORD`` bytes: so the rows are bounded in bytes too.
 
     The counts are first summed up in steps of an eighth of a power of two, a few hundred rows at
     any size; None if no step has so few words.
     """
+    counts = counts.filter(F.octet_length("word") <= LONGEST_WORD)
     step = F.floor(F.log2("n") * 8).cast("int")
     steps = sorted(counts.groupBy(step.alias("step")).count().collect(), reverse=True)
     total, least = 0, None

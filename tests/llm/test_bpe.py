@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer as Library
 
-from meterflow.llm import bpe
+from meterflow.llm import bpe, common
 from meterflow.llm.transducer import Transducer, compile_words
 
 from .conftest import AWKWARD, LONG
@@ -82,6 +82,17 @@ def test_documents(make_docs, awkward, empty):
     assert bpe.encode_digests(empty, PATH).count() == 0
 
 
+def test_long_words_are_encoded_without_the_lexicon(make_docs, monkeypatch):
+    monkeypatch.setattr(common, "LONGEST_WORD", 6)
+    texts = ["short words and extraordinarily long ones", "extraordinarily " * 50, "ééé éééé"]
+    docs = make_docs([(i, text) for i, text in enumerate(texts)])
+    name = bpe.ship(docs.sparkSession, PATH)
+    hot = common.frequent(bpe.word_counts(docs, name), 1000)
+    assert {r.word for r in hot.collect()} and all(len(r.word.encode()) <= 6 for r in hot.collect())
+    found = {r.doc_id: tuple(r[1:]) for r in bpe.encode_digests(docs, PATH).collect()}
+    assert found == {i: digests(text) for i, text in enumerate(texts)}
+
+
 def test_round_trip_column(make_docs):
     docs = make_docs([(1, "hello world"), (2, None)])
     rows = {r.doc_id: r.encoded for r in bpe.encode(docs, PATH).collect()}
