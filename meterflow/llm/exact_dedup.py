@@ -29,8 +29,12 @@ GROWTH = 8
 
 
 def lower(text):
-    """A to Z in lower case, everything else as it is."""
-    return F.translate(text, ascii_uppercase, ascii_lowercase)
+    """A to Z in lower case, everything else as it is. Of texts without other letters, whose
+    characters are as many as their bytes, ``lower`` does the same and is much faster."""
+    plain = F.octet_length(text) == F.char_length(text)
+    return F.when(plain, F.lower(text)).otherwise(
+        F.translate(text, ascii_uppercase, ascii_lowercase)
+    )
 
 
 def lower_bytes(run):
