@@ -6,7 +6,15 @@ from meterflow.functions.columns import calendar_parts, clamp
 from meterflow.operators import forecast, keyed, minutes
 from meterflow.operators.ranges import BY_DATE, BY_MINUTE, range_of, time_range
 from meterflow.plans import live, reports, timeline
-from meterflow.plans.derived import ONCE, live_topic, naive, rounded, sliced_topic
+from meterflow.plans.derived import (
+    ONCE,
+    live_topic,
+    naive,
+    read_slices,
+    rounded,
+    sliced_topic,
+    write_slices,
+)
 from meterflow.plans.serving import (
     merged_stored_view,
     merged_view,
@@ -391,8 +399,9 @@ def merged(spark, sf_dir):
 
 def merged_stored(spark, sf_dir):
     """Stored layers: the batch layer has seen two of three micro-batches, the speed layer all."""
-    batch = stored_batches(spark, sliced_topic(spark, sf_dir, upto=2))
-    speed, schema = stored_speed(spark, sliced_topic(spark, sf_dir))
+    topic = write_slices(spark, sf_dir)
+    batch = stored_batches(spark, read_slices(spark, topic, upto=2))
+    speed, schema = stored_speed(spark, read_slices(spark, topic))
     view = merged_stored_view(spark, batch, speed, schema)
     return rounded(naive(view, "start_time", "end_time"), AVERAGES, 9)
 

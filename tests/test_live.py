@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from meterflow.operators.minutes import speed_minutes
 from meterflow.operators.sessions import sessions
+from meterflow.plans import derived, registry
+from meterflow.session import session_folder
 from meterflow.sources.messages import parse_readings, read_messages
 from meterflow.sources.stores import read_store
 from meterflow.streaming import jobs, late, live
@@ -212,3 +214,21 @@ def test_predictions_with_and_without_readings(spark, tmp_path):
                     (10, 1, 10.0, 605.0)]
     alone = sorted((r.minute.timestamp() - BASE / 1000) / 60 for r in found if r.load is None)
     assert alone == [2, 11, 20]  # minute 21 may still be met
+
+
+# -- slices
+
+
+def test_a_slice_has_files_for_its_rows():
+    assert [derived.slice_files(n, 3) for n in (0, 5, 100_000, 6_000_000, 36_000_000)] == [
+        4, 4, 4, 8, 48]
+
+
+def test_both_layers_read_one_topic(spark):
+    def topics():
+        folder = session_folder(spark)
+        return {n for n in (os.listdir(folder) if os.path.isdir(folder) else []) if n.startswith("topic-")}
+
+    before = topics()
+    assert registry.merged_stored(spark, "/root/testdata/sf0.001").count() > 0
+    assert len(topics() - before) == 1
