@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterflow.operators.minutes import speed_minutes
 from meterflow.operators.sessions import sessions
 from meterflow.plans import derived, registry
-from meterflow.session import session_folder
+from meterflow.session import STATE_SETTINGS, STATE_STORE, session_folder
 from meterflow.sources.messages import parse_readings, read_messages
 from meterflow.sources.stores import read_store
 from meterflow.streaming import jobs, late, live
@@ -190,6 +190,28 @@ def test_silent_sensors_continue_from_their_checkpoint(spark, tmp_path):
     assert silent(found) == SILENT
 
 
+def test_a_reading_that_is_not_late_ends_a_silence(spark, tmp_path):
+    readings = stream(spark, topic(tmp_path, [[0, 310], [280], [4000]]))
+    found = append(spark, live.silent_sensors(readings, 300), tmp_path, "silent")
+    assert silent(found) == [(0, 310, 310)]
+
+
+def test_silent_sensors_take_no_python(spark, tmp_path):
+    found = live.silent_sensors(stream(spark, topic(tmp_path)), 300)
+    text = found._jdf.queryExecution().analyzed().toString()
+    assert "Session" in text and "Pandas" not in text
+
+
+def test_equal_times_keep_the_largest_load(spark, tmp_path):
+    readings = stream(spark, topic(tmp_path, [[0, 100.5], [4000]])).withColumn(
+        "timestamp", F.date_trunc("minute", "timestamp"))
+    readings = readings.withColumn("global_active_power", F.when(
+        F.col("global_active_power") > 0, F.col("global_active_power")))
+    both = readings.unionByName(readings.withColumn("global_active_power", F.lit(7.0)))
+    found = append(spark, live.silent_sensors(both, 300), tmp_path, "silent")
+    assert silent(found) == [(0, 60, 100.5)]
+
+
 # -- predictions met by readings
 
 
@@ -216,6 +238,18 @@ def test_predictions_with_and_without_readings(spark, tmp_path):
     assert alone == [2, 11, 20]  # minute 21 may still be met
 
 
+@pytest.mark.parametrize("make", [
+    lambda readings: live.silent_sensors(readings),
+])
+def test_state_leaves_the_heap_in_any_session(spark, tmp_path, make):
+    readings = stream(spark, topic(tmp_path))
+    for key in STATE_SETTINGS:
+        spark.conf.unset(key)
+    spark.conf.set(STATE_STORE, spark.conf.get(STATE_STORE).replace("RocksDB", "HDFSBacked"))
+    make(readings)
+    assert {key: spark.conf.get(key) for key in STATE_SETTINGS} == STATE_SETTINGS
+
+
 # -- slices
 
 
