@@ -239,6 +239,8 @@ def test_predictions_with_and_without_readings(spark, tmp_path):
 
 
 @pytest.mark.parametrize("make", [
+    lambda readings: live.scored_stream(readings.selectExpr(
+        "sensor_id", "timestamp AS minute", "1 AS step", "1D AS predicted"), readings),
     lambda readings: live.silent_sensors(readings),
 ])
 def test_state_leaves_the_heap_in_any_session(spark, tmp_path, make):
