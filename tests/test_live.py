@@ -260,11 +260,15 @@ def test_a_slice_has_files_for_its_rows():
         4, 4, 4, 8, 48]
 
 
-def test_both_layers_read_one_topic(spark):
+def test_both_layers_read_one_topic(spark, tmp_path):
     def topics():
         folder = session_folder(spark)
         return {n for n in (os.listdir(folder) if os.path.isdir(folder) else []) if n.startswith("topic-")}
 
+    spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 600)::timestamp_ntz AS ts",
+        "id % 7 AS user_id", "'view' AS event_type", "id / 3D AS value",
+        "concat('{\"k\": ', id % 100, '}') AS props").write.parquet(str(tmp_path / "events.parquet"))
     before = topics()
-    assert registry.merged_stored(spark, "/root/testdata/sf0.001").count() > 0
+    assert registry.merged_stored(spark, str(tmp_path)).count() == 600 - 1  # the last is still open
     assert len(topics() - before) == 1
