@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from meterflow.operators.minutes import speed_minutes
 from meterflow.operators.sessions import sessions
 from meterflow.plans import derived, registry
-from meterflow.session import STATE_SETTINGS, STATE_STORE, session_folder
+from meterflow.plans import live as plans
+from meterflow.session import BOUNDED_STATE, STATE_SETTINGS, STATE_STORE, session_folder
 from meterflow.sources.messages import parse_readings, read_messages
 from meterflow.sources.stores import read_store
 from meterflow.streaming import jobs, late, live
@@ -252,6 +253,26 @@ def test_state_leaves_the_heap_in_any_session(spark, tmp_path, make):
     assert {key: spark.conf.get(key) for key in STATE_SETTINGS} == STATE_SETTINGS
 
 
+def test_join_state_is_one_flushed_store_a_partition(spark, tmp_path):
+    def progress():
+        folder = session_folder(spark)
+        return {n for n in (os.listdir(folder) if os.path.isdir(folder) else []) if n.startswith("scored-progress-")}
+
+    spark.range(600).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 600)::timestamp_ntz AS ts",
+        "id % 7 AS user_id", "'view' AS event_type", "id / 3D AS value",
+        "concat('{\"k\": ', id % 100, '}') AS props").write.parquet(str(tmp_path / "events.parquet"))
+    before, known = progress(), {key: spark.conf.get(key, None) for key in BOUNDED_STATE}
+    assert plans.scored_forecast(spark, str(tmp_path)).count() > 0
+    assert {key: spark.conf.get(key, None) for key in BOUNDED_STATE} == known
+    (made,) = progress() - before
+    found = os.path.join(session_folder(spark), made, "state", "0")
+    for part in (n for n in os.listdir(found) if n.isdigit()):
+        names = os.listdir(os.path.join(found, part))
+        assert [n for n in names if n.endswith(".zip")]
+        assert not [n for n in names if n.endswith(".changelog") or n.startswith(("left-", "right-"))]
+
+
 # -- slices
 
 
